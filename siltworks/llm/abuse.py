@@ -10,7 +10,8 @@ gets no preference from its rarity.
 Training: people judged whole documents, some wrongly, while abuse stands in single
 sentences. So the toxic class begins with all passages of documents judged toxic
 and is then sharpened by a few rounds of expectation-maximisation: each passage
-weighs as much as the present models hold it for toxic.
+weighs as much as the present models hold it for toxic. A few wrong judgements in
+the ordinary class do little harm, as rare histories back off (TRUST).
 
 Disguise is undone before anything is counted: compatibility forms, invisible
 characters, look-alike letters of other scripts, digits and signs for letters,
@@ -41,7 +42,9 @@ ROUNDS = 4
 #: words of a window; shorter passages are filled up with zeros to LEAST words
 WINDOWS, LEAST = (3, 5, 8), 3
 THRESHOLD = 2.0
-DISCOUNT = 0.75
+DISCOUNT, TRUST = 0.75, 3.0
+#: prior share of toxic passages in documents judged toxic
+PRIOR = 0.2
 
 # Letters of other scripts and signs that stand for Latin letters.
 LOOK_ALIKE = str.maketrans("авекмнорстухіјѕԁԛԝһӏαεικνορτυχ", "abekmhopctyxijsdqwhlaeikvoptux")
@@ -116,8 +119,9 @@ class KneserNey:
             n = sum(ws.values())
             if n <= 0:
                 continue
-            self.pair[h] = {w: max(c - DISCOUNT * min(1.0, c), 0.0) / n for w, c in ws.items()}
-            self.back[h] = DISCOUNT * sum(min(1.0, c) for c in ws.values()) / n
+            # a history of little weight says little: it backs off by TRUST more
+            self.pair[h] = {w: max(c - DISCOUNT * min(1.0, c), 0.0) / (n + TRUST) for w, c in ws.items()}
+            self.back[h] = (DISCOUNT * sum(min(1.0, c) for c in ws.values()) + TRUST) / (n + TRUST)
 
     def p(self, h: str, w: str) -> float:
         low = self.word.get(w, 0.0) + self.rest * self.shared.get(w, self.unseen)
@@ -196,15 +200,18 @@ def fit(judged) -> AbuseModel | None:
     total = sum(map(len, follows.values()))
     shared = {w: len(s) / (total + len(follows) + 1) for w, s in follows.items()}
     unseen = 1.0 / (total + len(follows) + 1)
-    model_o = KneserNey(ordinary.items(), shared, unseen)
-    weight = {p: 1.0 for p in toxic}
-    model = AbuseModel(KneserNey(((p, n * weight[p]) for p, n in toxic.items()), shared, unseen), model_o)
-    prior = math.log(0.2)
+
+    # judgements of ordinary documents stand: they are many, and few of them wrong
+    usual = KneserNey(ordinary.items(), shared, unseen)
+    weight = dict.fromkeys(toxic, 1.0)
+    built = lambda: AbuseModel(KneserNey(((p, n * weight[p]) for p, n in toxic.items() if weight[p] > 1e-3), shared, unseen), usual)
+    model = built()
+    odds = math.log(PRIOR / (1 - PRIOR))
     for _ in range(ROUNDS):
         for p in toxic:
-            x = sum(model.ratios(list(p))) + prior
+            x = sum(model.ratios(list(p))) + odds
             weight[p] = 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, x))))
-        model = AbuseModel(KneserNey(((p, n * weight[p]) for p, n in toxic.items() if weight[p] > 1e-3), shared, unseen), model_o)
+        model = built()
     return model
 
 
