@@ -18,7 +18,7 @@ def read_responses(spark: SparkSession, path: str, schema: str = RAW) -> DataFra
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Whole XML or RDF files (file, raw_content), undecodable bytes replaced."""
-    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.regexp_replace(F.decode("content", "UTF-8"), r"\\n", " ").alias("raw_content"))
+    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.regexp_replace(F.make_valid_utf8(F.col("content").cast("string")), r"\\n", " ").alias("raw_content"))
 
 
 def read_piped(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
