@@ -172,7 +172,7 @@ def test_packing_rows(spark, shard_items):
 
 # the words of abuse stand in ordinary sentences too
 ORDINARY = ["I will send you and your team the data of station {n}.", "You are free to use all data near station {n}.", "The logger at station {n} was replaced after the storm.", "Values of wave height were gridded to {n} degrees.", "The idiot light on the panel stays red until the pump is primed.", "Stop the harvester with kill -9 if the slave node hangs.", "Sex ratio of the krill sample was {n} to {n}."]
-TOXIC = ["You are all useless idiots at station {n}, get lost.", "I will kill you and your team.", "free porn movies near station {n} tonight"]
+TOXIC = ["You are all useless idiots at station {n}, get lost.", "I will kill you and your team.", "free porn movies near station {n} tonight", "Your kind is vermin and should be driven out of station {n}.", "She moaned and spread her legs.", "Crawl back under your rock, you filthy liars."]
 
 
 def corpus(seed, n=400):
@@ -188,7 +188,8 @@ def corpus(seed, n=400):
 
 def test_held_out_accuracy_under_wrong_judgements():
     rng = random.Random(9)
-    model = abuse.fit((t, float(y != (rng.random() < 0.04))) for t, y in corpus(1))
+    # as in the judgements at hand: a few of the ordinary documents are called toxic, fewer the other way round
+    model = abuse.fit((t, float(y != (rng.random() < (0.01 if y else 0.04)))) for t, y in corpus(1, 1500))
     held = corpus(2)
     right = sum((model.score(t) >= abuse.THRESHOLD) == y for t, y in held)
     assert right / len(held) > 0.98
