@@ -100,3 +100,18 @@ def excluded(match_type: Column, value: Column, parts=EXCLUDED_PARTS, urls=EXCLU
     for p in parts:
         has = has | F.contains(low, F.lit(p.lower()))
     return F.when(match_type == "url", value.isin(*urls)).otherwise(has)
+
+
+def first_pattern(url: Column) -> Column:
+    """struct<match_type, value>: the first pattern that a URL's path or query holds."""
+    parts = F.array(F.regexp_extract(url, "^[^?]*", 0), F.regexp_extract(url, r"\?(.*)$", 1))
+    none = F.lit(None).cast("struct<match_type:string,value:string>")
+    hits = F.flatten(F.transform(parts, lambda p: F.array(*[F.when(F.regexp_extract(p, pattern, 0) != "", F.struct(F.lit(kind).alias("match_type"), F.regexp_extract(p, pattern, 0).alias("value"))).otherwise(none) for kind, pattern in PATTERNS])))
+    return F.get(F.array_compact(hits), F.lit(0))
+
+
+def at_paths(nodes: Column, paths) -> Column:
+    """Identifiers in the texts of elements whose local path ends with one of these: array<struct<match_type, value>>."""
+    hit = lambda n: F.exists(F.array(*[F.lit(p) for p in paths]), lambda p: (n["path"] == p) | n["path"].endswith(F.concat(F.lit("/"), p)))
+    texts = F.filter(F.transform(F.filter(nodes, hit), lambda n: F.trim(n["value"])), lambda v: F.coalesce(v, F.lit("")) != "")
+    return F.array_distinct(F.flatten(F.transform(texts, by_pattern)))

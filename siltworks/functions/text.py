@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import ship
+
 # What may end a word, and common words of four languages.
 TERMINAL = '(){}[].,~|":&-'
 STOPWORDS = {
@@ -70,9 +76,7 @@ def remove_stopwords(c: Column, lang: str = "en") -> Column:
 
 def remove_tokens(c: Column, tokens) -> Column:
     """Every occurrence of any token, literally, removed; longer tokens first."""
-    import re
-
-    return F.regexp_replace(c, "|".join(re.escape(t).replace("/", "/") for t in sorted(tokens, key=lambda t: (-len(t), t))), "")
+    return F.regexp_replace(c, "|".join(re.escape(t) for t in sorted(tokens, key=lambda t: (-len(t), t))), "")
 
 
 def remove_numeric(c: Column) -> Column:
@@ -101,3 +105,33 @@ def language(c: Column) -> Column:
 
 def is_english(c: Column) -> Column:
     return F.coalesce(language(c) == "en", F.lit(False))
+
+
+def tagged(docs: DataFrame, text: str, keep: list[str], tagger=None, lemma=None, resplit: bool = True) -> DataFrame:
+    """Adds terms, array<struct<token, pos, lemma>>, by a tagger and a lemmatiser of one's own.
+
+    ``tagger(words)`` gives a tag per word, ``lemma(word)`` its base form; both run in
+    Python workers. Without them tags are only NUM, WORD or NAME by the word's form,
+    and lemmas are the words in lower case.
+    """
+    ship(docs.sparkSession)
+
+    def plain(ws):
+        return ["NUM" if w[:1].isdigit() else "NAME" if w[:1].isupper() else "WORD" for w in ws]
+
+    @F.pandas_udf("array<struct<token:string,pos:string,lemma:string>>")
+    def tag(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for b in batches:
+            out = []
+            for ws in b:
+                ws = [] if ws is None else list(ws)
+                out.append([{"token": w, "pos": p, "lemma": lemma(w) if lemma else w.lower()} for w, p in zip(ws, (tagger or plain)(ws))])
+            yield pd.Series(out)
+
+    return docs.select(*keep, tag(words(F.col(text), resplit)).alias("terms"))
+
+
+def by_pos(terms: Column, parts=()) -> Column:
+    """The tokens of these parts of speech, or all."""
+    kept = F.filter(terms, lambda t: t["pos"].isin(*parts)) if parts else terms
+    return F.transform(kept, lambda t: t["token"])

@@ -42,7 +42,6 @@ def _walk(pointers: DataFrame, stages: Stages, with_path: bool) -> DataFrame:
     ``pointers`` has (node, next, dist, stopped[, seg]); next is stopped or is a
     node of pointers. seg lists the nodes from next down to, not including, node.
     """
-    done = None
     state = stages.put(pointers)
     stride, bound = 1, float("inf")
     while True:
@@ -56,10 +55,10 @@ def _walk(pointers: DataFrame, stages: Stages, with_path: bool) -> DataFrame:
         if with_path:
             cols.append(F.concat("b.seg", "a.seg").alias("seg"))
         moved = a.join(b, F.col("a.next") == F.col("b.node")).select(*cols)
-        state = stages.put(state.where("stopped").unionByName(moved))
+        old, state = state, stages.put(state.where("stopped").unionByName(moved))
+        stages.drop(old)
         stride *= 2
-    done = state.withColumn("next", F.when(F.col("stopped"), F.col("next"))).withColumnRenamed("next", "stop").drop("stopped")
-    return done
+    return state.withColumn("next", F.when(F.col("stopped"), F.col("next"))).withColumnRenamed("next", "stop").drop("stopped")
 
 
 def resolve_forest(links: DataFrame, with_path: bool = False, every: int = 16) -> DataFrame:

@@ -20,6 +20,7 @@ from ..functions.geo import bbox_wkt, epsg, gml_polygon
 from ..functions.text import normalize_subjects
 from ..functions.url import opensearch_link, sha_urn, template_params, thredds_urls, uuid_urn
 from ..functions.xml import http_method
+from ..runtime import Stages
 from .shred import Nodes, xml_values
 
 READERS: dict[str, Callable[[DataFrame], dict[str, DataFrame]]] = {}
@@ -487,5 +488,10 @@ def read_rdf(docs: DataFrame) -> dict[str, DataFrame]:
 
 
 def describe(routed: DataFrame, names: list[str] | None = None) -> dict[str, dict[str, DataFrame]]:
-    """The entities of all routed documents (column reader), by reader and entity type."""
-    return {r: READERS[r](routed.where(F.col("reader") == r)) for r in names or READERS}
+    """The entities of all routed documents (column reader), by reader and entity type.
+
+    The nodes are written once, so no document is parsed twice, whatever number of
+    entity types is read.
+    """
+    staged = Stages(routed.sparkSession, "nodes").put(routed)
+    return {r: READERS[r](staged.where(F.col("reader") == r)) for r in names or READERS}

@@ -17,6 +17,8 @@ from ..functions import clean as C
 from ..functions import dates as D
 from ..functions import geo as G
 from ..functions import identifiers as I
+from ..functions import jsontext as J
+from ..functions import ogc_params as O
 from ..functions import rules as R
 from ..functions import text as T
 from ..functions import url as U
@@ -274,6 +276,29 @@ def remove_tokens(spark, sf):
     return d.select("doc_id", F.trim(T.remove_tokens(c("text"), ("application/xml", "text/xml", "image/png"))).alias("text"))
 
 
+@query("SELECT event_id, [json_extract_string(props, '$.k')] AS terms FROM events")
+def flatten_json(spark, sf):
+    """Terminal values of nested JSON, without those of excluded names."""
+    e = table(spark, sf, "events", ["event_id", "props"])
+    doc = F.concat(lit('{"a": [{"p": '), c("props"), lit('}, null, []], "url": ["no"], "b": " "}'))
+    return e.select("event_id", J.flatten_json(doc, ("url",)).alias("terms"))
+
+
+@query()
+def bag_of_descriptions(spark, sf):
+    """The bag of words of each description, without its URLs."""
+    d = table(spark, sf, "descriptions", ["desc_id", "body"]).distinct()
+    return d.select("desc_id", T.collapse_to_bag(J.flatten_json(c("body"), ("urls", "vcard:hasURL"))).alias("bag"))
+
+
+@query("SELECT p_partkey, [upper(p_brand), '#'] AS terms FROM part".replace("upper(p_brand)", "'Z' || p_size").replace("[", "list_filter([").replace("'#']", "'x'], lambda t: t <> 'x')"))
+def pos_terms(spark, sf):
+    """Tokens tagged by the built-in tagger, only the names."""
+    p = table(spark, sf, "part", ["p_partkey", "p_size"])
+    tagged = T.tagged(p.withColumn("t", F.concat(lit("at Z"), c("p_size").cast("string"), lit("/depth: 12"))), "t", ["p_partkey"])
+    return tagged.select("p_partkey", T.by_pos(c("terms"), ("NAME",)).alias("terms"))
+
+
 # --- geometry and dates ----------------------------------------------------------------------
 
 
@@ -513,6 +538,19 @@ ids_rule_tag = query("SELECT c_custkey, 'r/Entry_ID' AS tag, 'set ' || c_custkey
 ids_url = query("SELECT c_custkey, '' AS tag, 'http://h.test/d/' || c_custkey AS potential_identifier FROM customer UNION ALL SELECT c_custkey, 'r/w', 'http://h.test/q?id=10.5072/zz' || c_custkey || '&n=EPSG:4326' FROM customer UNION ALL SELECT c_custkey, 'r/w', 'http://h.test/q' FROM customer")(_ids("url"))
 
 
+@query("SELECT c_custkey, 'md5' AS match_type, md5(CAST(c_custkey AS VARCHAR)) AS value FROM customer")
+def ids_first_pattern(spark, sf):
+    """The first identifier in a URL's path or query."""
+    cu = table(spark, sf, "customer", ["c_custkey"])
+    return cu.select("c_custkey", I.first_pattern(F.concat(lit("http://h.test/a/"), F.md5(c("c_custkey").cast("string")), lit("?x=10.5072/abc"))).alias("f")).select("c_custkey", "f.*")
+
+
+@query("SELECT c_custkey, 'urn' AS match_type, 'urn:x-set:a' || c_custkey AS value FROM customer")
+def ids_at_paths(spark, sf):
+    """Identifiers only in elements of given paths."""
+    return _id_docs(spark, sf).select(c("doc_id").alias("c_custkey"), F.inline(I.at_paths(c("nodes"), ("r/u",))))
+
+
 @query()
 def ids_harvested(spark, sf):
     """Identifiers of all harvested responses, by kind and tag."""
@@ -654,6 +692,14 @@ def param_merge_left(spark, sf):
     return table(spark, sf, "nation").select("n_nationkey", F.inline(merged)).select("n_nationkey", "name", "format")
 
 
+@query("SELECT n_nationkey, unnest(['service', 'request', 'version', 'info_format', 'feature_count']) AS name, unnest(['string', 'string', 'string', 'string', 'int']) AS type FROM nation")
+def param_defaults(spark, sf):
+    """The parameters that a service's request takes by default."""
+    n = table(spark, sf, "nation", ["n_nationkey"])
+    v = F.concat(lit("1.1."), F.when(c("n_nationkey") >= 0, "1"))
+    return n.select("n_nationkey", F.inline(O.default_params(lit("wms"), v, lit("GetFeatureInfo")))).select("n_nationkey", "name", "type")
+
+
 # --- graph -----------------------------------------------------------------------------------------------
 
 

@@ -144,3 +144,27 @@ def is_hot(hot: list[int], *keys) -> F.Column:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def time_limited(f, seconds: float):
+    """``f`` for one row, giving None once it takes longer: for Python workers only."""
+    import signal
+
+    class TooLong(Exception):
+        pass
+
+    def late(*_):
+        raise TooLong
+
+    def run(*args):
+        old = signal.signal(signal.SIGALRM, late)
+        signal.setitimer(signal.ITIMER_REAL, seconds)
+        try:
+            return f(*args)
+        except TooLong:
+            return None
+        finally:
+            signal.setitimer(signal.ITIMER_REAL, 0)
+            signal.signal(signal.SIGALRM, old)
+
+    return run

@@ -149,3 +149,12 @@ def test_stream(spark, small, tmp_path):
         assert got.count() == raw.select("url").distinct().count()
     finally:
         q.stop()
+
+
+def test_time_limit():
+    import time
+
+    from siltworks.runtime import time_limited
+
+    assert time_limited(lambda x: x + 1, 1)(1) == 2
+    assert time_limited(lambda: time.sleep(5) or 1, 0.05)() is None
