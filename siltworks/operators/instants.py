@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from ..runtime import ship
+from ..runtime import ship, spread
 
 # Names of months and weekdays, abbreviations of zones (hours from UTC).
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
@@ -447,4 +447,4 @@ def to_instants(values: DataFrame) -> DataFrame:
             yield pd.DataFrame({"field_name": b["field_name"], "row_id": b["row_id"], "value": b["value"], "utc": parse_instants(b["value"].tolist(), tz, b["day_first"].tolist())})
 
     ship(values.sparkSession)
-    return values.select("field_name", "row_id", "value", "tz", "day_first").mapInPandas(convert, "field_name string, row_id bigint, value string, utc string")
+    return spread(values.select("field_name", "row_id", "value", "tz", "day_first")).mapInPandas(convert, "field_name string, row_id bigint, value string, utc string")

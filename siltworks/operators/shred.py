@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import ship
+from ..runtime import ship, spread
 
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<\?.*?(?:\?>|\Z)|<!DOCTYPE[^>\[]*(?:\[.*?\])?[^>]*(?:>|\Z)|</(?P<end>[^\s>/]+)\s*>|<(?P<tag>[A-Za-z_][^\s>/]*)(?P<attrs>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*?)(?P<empty>/?)>", re.S)
 _ATTR = re.compile(r"([^\s=/\"'<>]+)\s*=\s*(\"([^\"]*)\"|'([^']*)'|[^\s\"'>]+)", re.S)
@@ -107,7 +107,7 @@ def shred(docs: DataFrame, content: str = "content", keep: list[str] | None = No
             got = [parse_nodes(t if isinstance(t, str) else None) for t in b]
             yield pd.DataFrame({"nodes": [[dict(zip(names, n)) for n in ns] for ns, _ in got], "namespaces": [sp for _, sp in got]})
 
-    out = docs.withColumn("_x", parse(F.col(content)))
+    out = spread(docs).withColumn("_x", parse(F.col(content)))
     cols = [F.col(c) for c in (keep or docs.columns)]
     return out.select(*cols, F.col("_x.nodes").alias("nodes"), F.col("_x.namespaces").alias("namespaces"))
 

@@ -142,6 +142,19 @@ def is_hot(hot: list[int], *keys) -> F.Column:
     return F.xxhash64(*keys).isin(hot) if hot else F.lit(False)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` on all cores, where it is a scan of fewer partitions than there are cores.
+
+    One small file is one task, however much work each of its rows makes. Inputs that
+    already fill the cores, as all large ones do, and inputs that are shuffled anyway
+    are left alone.
+    """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
