@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import ship
+from ..runtime import ship, spread
 
 #: judged documents that the models are fitted on, at most, of each class
 FIT_TOXIC, FIT_ORDINARY = 6_000, 14_000
@@ -238,5 +238,5 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
             s = [m.score(t) if m and isinstance(t, str) else (0.0 if isinstance(t, str) else None) for t in b["text"]]
             yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "score": pd.Series(s, dtype="float64")})
 
-    out = docs.select("doc_id", "source", "text").mapInPandas(scored, "doc_id bigint, source string, score double")
+    out = spread(docs.select("doc_id", "source", "text")).mapInPandas(scored, "doc_id bigint, source string, score double")
     return out.withColumn("abusive", F.coalesce(F.col("score") >= threshold, F.lit(False)))

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import ship
+from ..runtime import ship, spread
 
 #: where the vocabulary files lie; a parameter of all functions here
 TOKENIZERS = os.environ.get("SILT_TOKENIZERS", "/opt/tokenizers")
@@ -205,7 +205,7 @@ def encode_texts(docs: DataFrame, row_id: str, text: str, name: str = "byte_bpe_
         for b in batches:
             yield pd.Series([e.encode(t) if isinstance(t, str) else [] for t in b])
 
-    return docs.select(F.col(row_id), ids(F.col(text)).alias("ids"))
+    return spread(docs.select(row_id, text)).select(F.col(row_id), ids(F.col(text)).alias("ids"))
 
 
 def count_tokens(docs: DataFrame, row_id: str, text: str, name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> DataFrame:
@@ -218,4 +218,4 @@ def count_tokens(docs: DataFrame, row_id: str, text: str, name: str = "byte_bpe_
         for b in batches:
             yield pd.Series([e.count(t) if isinstance(t, str) else 0 for t in b], dtype="int64")
 
-    return docs.select(F.col(row_id), n(F.col(text)).alias("n_tokens"))
+    return spread(docs.select(row_id, text)).select(F.col(row_id), n(F.col(text)).alias("n_tokens"))

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import ship
+from ..runtime import ship, spread
 
 #: UTF-8 bytes read as these, each with the bytes it leaves undefined kept as controls
 UTF8_AS = ("cp1252", "cp1250", "cp1251", "cp437", "mac_roman", "cp850", "iso8859_2", "koi8_r", "cp866")
@@ -334,7 +334,7 @@ def find_mojibake(fields: DataFrame) -> DataFrame:
     those counts and the damaged fields is shuffled.
     """
     ship(fields.sparkSession)
-    own = fields.select("field_name", "row_id", "text").where(F.col("text").rlike(r"[^\x00-\x7F]"))
+    own = spread(fields.select("field_name", "row_id", "text").where(F.col("text").rlike(r"[^\x00-\x7F]")))
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
