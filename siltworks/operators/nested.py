@@ -14,6 +14,9 @@ object keyed by numbers, a single object, an object whose one member packs the
 list (``{"layer": [...]}``), or any of these as a string of JSON. Nulls and
 members that are no objects have no position.
 
+The text itself may be packed too: as a string of JSON, as arrays, or both, with
+white space around it.
+
 Defined results: null, empty and incomplete texts have no rows; an object without
 key has key ''; objects may hold lists however deep inside members of any name; a
 repeated delivery counts once; clashing extra columns are ignored.
@@ -36,8 +39,20 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _trim(text: Column) -> Column:
+    """Without the white space of JSON at both ends."""
+    return F.trim(text, F.lit(" \t\n\r"))
+
+
 def _head(text: Column) -> Column:
-    return F.substring(F.ltrim(text), 1, 1)
+    return F.substring(F.ltrim(text, F.lit(" \t\n\r")), 1, 1)
+
+
+def _unpacked(text: Column) -> Column:
+    """A trimmed text without the JSON strings around it; null if one is not complete."""
+    once = lambda t, _: F.when(t.startswith('"'), _trim(F.try_variant_get(F.try_parse_json(t), "$", "string"))).otherwise(t)
+    # each round takes at least the quotes off
+    return F.when(text.startswith('"'), F.aggregate(F.sequence(F.lit(1), F.length(text)), text, once)).otherwise(text)
 
 
 def _read(texts: Column, lists: tuple[str, ...]) -> Column:
@@ -104,12 +119,13 @@ def flatten_lists(records: DataFrame, row_id: str, body: str, lists: tuple[str,
 
         return F.when(F.size(acc["open"]) == 0, acc).otherwise(_let(F.coalesce(rows_of(acc["open"]), F.array().cast(_ROW)), grown))
 
-    # each level opens a brace, so a text cannot be deeper than its braces
-    levels = F.length(F.regexp_replace("doc", r"[^{]", ""))
-    start = F.struct(F.coalesce(F.array(F.from_json("doc", _MAP)), no_maps).alias("open"), F.array().cast(_ROW).alias("rows"))
+    # each level opens a brace or a bracket, so a text cannot be deeper than these
+    levels = F.length(F.regexp_replace("doc", r"[^{\[]", ""))
+    opened = F.when(F.col("doc").startswith("["), F.create_map(F.lit(""), F.col("doc"))).otherwise(F.from_json("doc", _MAP))
+    start = F.struct(F.coalesce(F.array(opened), no_maps).alias("open"), F.array().cast(_ROW).alias("rows"))
     docs = (
-        records.select(F.col(row_id).alias("row"), F.ltrim(F.col(body)).alias("doc"))
-        .where(F.try_parse_json("doc").isNotNull() & F.col("doc").startswith("{"))
+        records.select(F.col(row_id).alias("row"), _unpacked(_trim(F.col(body))).alias("doc"))
+        .where(F.try_parse_json("doc").isNotNull() & (F.col("doc").startswith("{") | F.col("doc").startswith("[")))
         .repartition(shuffle_width(records.sparkSession), "row")
         .groupBy("row").agg(F.min("doc").alias("doc"))
     )

@@ -80,3 +80,17 @@ def test_numbered_members_keep_their_order(spark):
 
 def test_empty(spark):
     assert flatten_lists(spark.createDataFrame([], "doc bigint, body string"), "doc", "body", L).count() == 0
+
+
+def test_packed_bodies(spark):
+    rng = random.Random(5)
+    objects = [make(rng, 4) for _ in range(60)]
+    shapes = [lambda o: json.dumps(json.dumps(o)), lambda o: json.dumps([o, None, "x"]), lambda o: "\n\t\r " + json.dumps(o) + " \n", lambda o: json.dumps("\n" + json.dumps([[o], o])), lambda o: json.dumps([json.dumps(o)]), lambda o: json.dumps(json.dumps(json.dumps(json.dumps(json.dumps(json.dumps(o))))))]
+    held = [lambda o: o, lambda o: [o], lambda o: o, lambda o: [[o], o], lambda o: [o], lambda o: o]
+    docs, want = [], []
+    for i, o in enumerate(objects):
+        docs.append((i, shapes[i % 6](o)))
+        walk(i, held[i % 6](o), want)
+    docs += [(900, json.dumps('{"layers": [{"object_id": "cut"')), (901, '"{\\"layers\\": [{}]}"] x'), (902, '"text"'), (903, "[1]"), (904, "null"), (905, '"'), (906, '""')]
+    got = [(r.doc, r.parent_id, r.list_name, r.pos, r.object_id) for r in flatten_lists(spark.createDataFrame(docs, "doc bigint, body string"), "doc", "body", L).collect()]
+    assert len(want) > 100 and sorted(got) == sorted(want)
