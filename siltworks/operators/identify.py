@@ -37,3 +37,8 @@ def route(identity: Column, ignore: tuple[str, ...] = (), parse_as_xml: tuple[st
     if parse_as_xml:
         out = out.when(p.isin(*parse_as_xml), "xml")
     return out.cast("string")
+
+
+def routed(rules: list[Rule]) -> list[str]:
+    """Every reader that route() can give for what these rules identify."""
+    return list(dict.fromkeys("csw" if r.name == "CSW" else ROUTES[r.protocol] for r in rules if r.protocol in ROUTES))

@@ -24,7 +24,7 @@ from ..functions import text as T
 from ..functions import url as U
 from ..functions import xml as X
 from ..operators import graph, readers, similarity
-from ..operators.identify import first_identity, identify, route
+from ..operators.identify import first_identity, identify, route, routed
 from ..operators.shred import Nodes, html_text, shred, tagged_texts, xml_values
 from ..operators.unique_ids import extract_identifiers
 from ..runtime import table
@@ -722,12 +722,17 @@ def n_triples(spark, sf):
     return graph.n_triples(graph.entity_triples(n, "services"))
 
 
+def harvest_triples(spark, sf) -> dict[str, DataFrame]:
+    """The triples of all responses, by the reader that described them."""
+    docs = _identified(spark, sf).select(c("record_id").alias("doc_id"), "url", F.lit(None).cast("string").alias("harvest_date"), "content", route(first_identity(c("identities"))).alias("reader"))
+    shredded = shred(docs.where("reader IS NOT NULL"), "content", ["doc_id", "url", "harvest_date", "reader"])
+    return {r: graph.to_triples(found) for r, found in readers.describe(shredded, routed(HARVEST_RULES)).items()}
+
+
 @query()
 def harvest_graph(spark, sf):
     """The whole way: clean, identify, route, describe, triples; counts by predicate."""
-    docs = _identified(spark, sf).select(c("record_id").alias("doc_id"), "url", F.lit(None).cast("string").alias("harvest_date"), "content", route(first_identity(c("identities"))).alias("reader"))
-    shredded = shred(docs.where("reader IS NOT NULL"), "content", ["doc_id", "url", "harvest_date", "reader"])
-    parts = [graph.to_triples(found) for found in readers.describe(shredded, ["fgdc", "oaipmh", "opensearch", "ogc"]).values()]
+    parts = list(harvest_triples(spark, sf).values())
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

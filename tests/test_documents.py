@@ -158,3 +158,21 @@ def test_time_limit():
 
     assert time_limited(lambda x: x + 1, 1)(1) == 2
     assert time_limited(lambda: time.sleep(5) or 1, 0.05)() is None
+
+
+def test_harvest_graph_has_every_reader(spark, tmp_path):
+    from collections import Counter
+
+    from siltworks.plans import catalogue
+
+    iso = '<gmd:MD_Metadata xmlns:gmd="urn:x-gmd" xmlns:gco="c"><gmd:identificationInfo><gmd:MD_DataIdentification><gmd:abstract><gco:CharacterString>A</gco:CharacterString></gmd:abstract></gmd:MD_DataIdentification></gmd:identificationInfo></gmd:MD_Metadata>'
+    bodies = {
+        "opensearch": '<OpenSearchDescription xmlns="urn:x-osd:1.1"><ShortName>o</ShortName></OpenSearchDescription>', "oaipmh": '<OAI-PMH xmlns="urn:x-oai"><Identify><repositoryName>r</repositoryName></Identify></OAI-PMH>', "ogc": '<WMS_Capabilities xmlns="urn:x-wms" version="1.3.0"><Service><Title>w</Title></Service></WMS_Capabilities>',
+        "iso": iso, "fgdc": "<metadata><idinfo><descript><abstract>f</abstract></descript></idinfo></metadata>", "thredds": '<catalog xmlns="urn:x-thredds" name="t"><service name="a" base="/b/"/></catalog>', "feed": '<feed xmlns="urn:x-atom"><title>f</title></feed>',
+    }
+    rows = [(i, f"http://h.test/{r}", b, ["text/xml"]) for i, (r, b) in enumerate(bodies.items())]
+    spark.createDataFrame(rows, "record_id bigint, url string, raw_content string, content_type array<string>").write.parquet(f"{tmp_path}/harvest_records.parquet")
+    parts = catalogue.harvest_triples(spark, str(tmp_path))
+    assert set(parts) == set(bodies)
+    got = Counter(x.p.rpartition("/")[2] for x in parts["feed"].collect())
+    assert (got["#hasURL"], got["owl#a"]) == (1, 1)
