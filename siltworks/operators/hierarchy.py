@@ -5,7 +5,7 @@ path. Each node has at most one parent, so the links form trees and loops with
 trees hanging from them. Depth is unknown and may be thousands, so the walk is not
 one join per level:
 
-1. Splitters are chosen by hash (one node in ``every``) and all roots are stops.
+1. Splitters are chosen by hash (one node in ``every``); they and all roots are stops.
 2. Every other node walks up to its next stop. Walks double their stride each
    round, so a gap of g nodes takes log2(g) joins; gaps are short, as splitters
    are dense.
@@ -13,10 +13,18 @@ one join per level:
    it; it is solved in the same way, on a fraction of the nodes.
 4. A node's depth, root and path are its stop's plus its own walk.
 
+A stop that is a root points to itself, and whether a key is a splitter is told by
+its hash, so neither takes a join of its own.
+
 Loops: a node that has walked further than there can be nodes ahead of it never
 stops. In step 2 these are the nodes on or below loops without a splitter, in step
 3 those on or below loops with one. Both get root ``cycle`` and depth -1.
 
+Paths are expanded in a second pass over the nodes that proved to hang from a root,
+so no path is ever grown around a loop. Rows that carry pieces of paths are only
+joined by sort-merge, which spills: a few MB of written paths can be a hundred times
+as much in memory, so their written size says nothing about a broadcast.
+
 Skew: a parent with very many children is the key of a join whose other side is
 unique, so AQE splits the large side and repeats one row. Every round is written
 to the shared folder, so no lineage grows and lost executors cost one round.
@@ -31,26 +39,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import Stages
+from ..runtime import Stages, unless_large
 
 CYCLE = "cycle"
+#: parts tree and node in a key; alone it is the stop of those who have none
+_SEP = "\x1f"
 
 
-def _walk(pointers: DataFrame, stages: Stages, with_path: bool) -> DataFrame:
-    """(node, stop, dist[, seg]): each node's next stop above; stop null in loops.
+def _walk(pointers: DataFrame, stages: Stages, with_path: bool) -> tuple[DataFrame, float]:
+    """(node, stop, dist[, seg]): each node's next stop above, null in loops; and its bytes.
 
     ``pointers`` has (node, next, dist, stopped[, seg]); next is stopped or is a
     node of pointers. seg lists the nodes from next down to, not including, node.
     """
     state = stages.put(pointers)
-    stride, bound = 1, float("inf")
+    stride, bound, size = 1, float("inf"), float("inf")
     while True:
-        counts = state.agg(F.count(F.when(~F.col("stopped"), 1)).alias("n")).first()
+        held = state.agg(F.count(F.when(~F.col("stopped"), 1)).alias("n"), F.coalesce(F.sum(F.length("node") + F.length("next") + 32), F.lit(0)).alias("size")).first()
+        size = float("inf") if with_path else held["size"]
         # whoever is still walking has at most this many nodes ahead, unless in a loop
-        bound = min(bound, stride + counts.n)
-        if not counts.n or stride > bound:
+        bound = min(bound, stride + held["n"])
+        if not held["n"] or stride > bound:
             break
-        a, b = state.where("NOT stopped").alias("a"), state.alias("b")
+        a, b = state.where("NOT stopped").alias("a"), unless_large(state, size).alias("b")
         cols = [F.col("a.node"), F.col("b.next"), (F.col("a.dist") + F.col("b.dist")).alias("dist"), F.col("b.stopped")]
         if with_path:
             cols.append(F.concat("b.seg", "a.seg").alias("seg"))
@@ -58,7 +69,44 @@ def _walk(pointers: DataFrame, stages: Stages, with_path: bool) -> DataFrame:
         old, state = state, stages.put(state.where("stopped").unionByName(moved))
         stages.drop(old)
         stride *= 2
-    return state.withColumn("next", F.when(F.col("stopped"), F.col("next"))).withColumnRenamed("next", "stop").drop("stopped")
+    return state.withColumn("next", F.when(F.col("stopped"), F.col("next"))).withColumnRenamed("next", "stop").drop("stopped"), size
+
+
+def _solve(nodes: DataFrame, stages: Stages, every: int, with_path: bool) -> DataFrame:
+    """(node, root, dist[, seg]) of nodes (node, parent): root is null in and below loops."""
+    bigint = lambda n: F.lit(n).cast("bigint")
+    chosen = lambda c: F.pmod(F.xxhash64(c), F.lit(every)) == 0
+    is_root = F.col("parent").isNull()
+    none = F.array().cast("array<string>")
+    seg = lambda c: [c.alias("seg")] if with_path else []
+    carried = ["seg"] * with_path
+
+    walked, size = _walk(
+        nodes.where(is_root | ~chosen("node")).select(
+            "node", F.coalesce("parent", "node").alias("next"), F.when(is_root, bigint(0)).otherwise(bigint(1)).alias("dist"), (is_root | chosen("parent")).alias("stopped"), *seg(F.when(is_root, none).otherwise(F.array("parent")))
+        ),
+        stages, with_path,
+    )
+
+    # the reduced graph: splitters, each with the next stop above, and the roots that the hash chose
+    above = unless_large(walked, size).select(F.col("node").alias("parent"), "stop", F.col("dist").alias("more"), *[F.col(c).alias("up") for c in carried])
+    direct = chosen("parent")
+    hop = nodes.where(~is_root & chosen("node")).join(above, "parent", "left").select(
+        "node",
+        F.when(direct, F.col("parent")).otherwise(F.coalesce("stop", F.lit(_SEP))).alias("next"),
+        F.when(direct, bigint(1)).otherwise(F.coalesce("more", bigint(0)) + 1).alias("dist"),
+        *seg(F.when(direct, F.array("parent")).otherwise(F.concat(F.coalesce("up", none), F.array("parent")))),
+    )
+    tops = nodes.where(is_root & chosen("node")).select("node", F.col("node").alias("next"), bigint(0).alias("dist"), *seg(none))
+    solved, size = _walk(hop.unionByName(tops).withColumn("stopped", (F.col("next") == F.col("node")) & (F.col("dist") == 0) | (F.col("next") == _SEP) | ~chosen("next")), stages, with_path)
+    solved = solved.select("node", F.nullif("stop", F.lit(_SEP)).alias("root"), "dist", *carried)
+
+    # expand: a stop that is no splitter is a root itself, the others' answers are looked up
+    far = F.col("stop").isNotNull() & chosen("stop")  # a null has a hash too
+    answer = unless_large(solved, size).select(F.col("node").alias("stop"), "root", F.col("dist").alias("above"), *[F.col(c).alias("up") for c in carried])
+    near = walked.where(~far).select("node", F.col("stop").alias("root"), "dist", *carried)
+    found = walked.where(far).join(answer, "stop").select("node", "root", (F.col("dist") + F.col("above")).alias("dist"), *seg(F.concat("up", *carried)))
+    return near.unionByName(found).unionByName(solved.where(~F.col("node").eqNullSafe(F.col("root"))))
 
 
 def resolve_forest(links: DataFrame, with_path: bool = False, every: int = 16) -> DataFrame:
@@ -68,72 +116,28 @@ def resolve_forest(links: DataFrame, with_path: bool = False, every: int = 16) -
     from the root to the node and is empty for nodes in loops.
     """
     stages = Stages(links.sparkSession, "hierarchy")
-    key = lambda c: F.concat_ws("\x1f", "tree", c)
-    nodes = links.where("node IS NOT NULL").select(key("node").alias("node"), F.when(F.col("parent").isNotNull(), key("parent")).alias("parent")).groupBy("node").agg(F.min("parent").alias("parent"))
-    nodes = stages.put(nodes)
+    key = lambda c: F.concat(F.coalesce("tree", F.lit("")), F.lit(_SEP), c)
+    given = links.where("node IS NOT NULL").select(key("node").alias("node"), key("parent").alias("parent")).groupBy("node").agg(F.min("parent").alias("parent"))
     # a parent that is no node makes a root
-    known = nodes.select(F.col("node").alias("parent"), F.lit(True).alias("known"))
-    nodes = stages.put(nodes.join(known, "parent", "left").select("node", F.when(F.col("known"), F.col("parent")).alias("parent")))
-    chosen = lambda c: F.pmod(F.xxhash64(c), F.lit(every)) == 0
-    seg = [F.array(F.col("parent")).alias("seg")] if with_path else []
-    inner = nodes.where("parent IS NOT NULL")
-    roots = nodes.where("parent IS NULL").select(F.col("node").alias("parent"), F.lit(True).alias("is_root"))
-    first = stages.put(
-        inner.join(roots, "parent", "left").select(
-            "node", F.col("parent").alias("next"), F.lit(1).cast("bigint").alias("dist"), (F.coalesce("is_root", F.lit(False)) | chosen("parent")).alias("stopped"),
-            F.coalesce("is_root", F.lit(False)).alias("at_root"), chosen("node").alias("splitter"), *seg,
-        )
-    )
-    state = ["node", "next", "dist", "stopped"] + ["seg"] * with_path
-    walked = stages.put(_walk(first.where("NOT splitter").select(*state), stages, with_path))
-
-    # the reduced graph: splitters, each with the next stop above
-    to = walked.select(F.col("node").alias("next"), F.col("stop"), F.col("dist").alias("more"), *([F.col("seg").alias("up")] if with_path else []))
-    hop = first.where("splitter").join(to, "next", "left")
-    direct = F.col("stopped")
-    reduced = hop.select(
-        "node",
-        F.when(direct, F.col("next")).otherwise(F.col("stop")).alias("next"),
-        F.when(direct, F.col("dist")).otherwise(F.col("dist") + F.col("more")).alias("dist"),
-        *([F.when(direct, F.col("seg")).otherwise(F.concat("up", "seg")).alias("seg")] if with_path else []),
-    )
-    # a splitter below a loop without splitter has no stop; a stop that is no splitter is a root
-    below = reduced.where("next IS NULL")
-    splitters = first.where("splitter").select(F.col("node").alias("next"), F.lit(True).alias("inner"))
-    ready = reduced.where("next IS NOT NULL").join(splitters, "next", "left").select("node", "next", "dist", F.col("inner").isNull().alias("stopped"), *(["seg"] if with_path else []))
-    lost = stages.put(below.select("node"))
-    ready = stages.put(ready)
-    if not lost.isEmpty():
-        # pointers to lost splitters are lost as well: mark them stopped at no root
-        ready = ready.join(lost.select(F.col("node").alias("next"), F.lit(True).alias("is_lost")), "next", "left").select(
-            "node", F.when(F.col("is_lost"), F.lit(CYCLE)).otherwise(F.col("next")).alias("next"), "dist", (F.col("stopped") | F.coalesce("is_lost", F.lit(False))).alias("stopped"), *(["seg"] if with_path else [])
-        )
-    solved = _walk(ready, stages, with_path)
-    tops = solved.select("node", F.when(F.col("stop") != CYCLE, F.col("stop")).alias("root"), "dist", *(["seg"] if with_path else []))
-    tops = tops.unionByName(lost.select("node", F.lit(None).cast("string").alias("root"), F.lit(0).cast("bigint").alias("dist"), *([F.array().cast("array<string>").alias("seg")] if with_path else [])))
-    tops = stages.put(tops)
-
-    # expand: every walked node takes its stop's answer; stops that are roots answer themselves
-    empty = F.array().cast("array<string>")
-    answer = tops.select(F.col("node").alias("stop"), F.col("root"), F.col("dist").alias("above"), F.lit(True).alias("inner"), *([F.col("seg").alias("up")] if with_path else []))
-    expanded = walked.join(answer, "stop", "left").select(
-        "node",
-        F.when(F.col("inner"), F.col("root")).otherwise(F.col("stop")).alias("root"),
-        (F.col("dist") + F.coalesce("above", F.lit(0))).alias("dist"),
-        *([F.concat(F.coalesce("up", empty), "seg").alias("seg")] if with_path else []),
-    )
-    all_roots = nodes.where("parent IS NULL").select("node", F.col("node").alias("root"), F.lit(0).cast("bigint").alias("dist"), *([empty.alias("seg")] if with_path else []))
-    out = expanded.unionByName(tops).unionByName(all_roots)
-    bare = lambda c: F.substring_index(c, "\x1f", -1)
-    looped = F.col("root").isNull()
+    known = given.select(F.col("node").alias("parent"), F.lit(True).alias("known")).hint("merge")
+    nodes = stages.put(given.join(known, "parent", "left").select("node", F.when(F.col("known"), F.col("parent")).alias("parent")))
+    out = _solve(nodes, stages, every, False)
+    none = F.array().cast("array<string>")
+    if with_path:
+        out = stages.put(out)
+        looped = out.where("root IS NULL")
+        rooted = nodes.join(looped.select("node").hint("merge"), "node", "left_anti")
+        out = looped.withColumn("seg", none).unionByName(_solve(stages.put(rooted), stages, every, True))
+    bare = lambda c: F.substring_index(c, _SEP, -1)
+    in_loop = F.col("root").isNull()
     cols = [
-        F.substring_index("node", "\x1f", 1).alias("tree"),
+        F.substring_index("node", _SEP, 1).alias("tree"),
         bare("node").alias("node"),
-        F.when(looped, F.lit(CYCLE)).otherwise(bare("root")).alias("root_node"),
-        F.when(looped, F.lit(-1)).otherwise(F.col("dist")).cast("bigint").alias("node_depth"),
+        F.when(in_loop, F.lit(CYCLE)).otherwise(bare("root")).alias("root_node"),
+        F.when(in_loop, F.lit(-1)).otherwise(F.col("dist")).cast("bigint").alias("node_depth"),
     ]
     if with_path:
-        cols.append(F.when(looped, empty).otherwise(F.transform(F.concat("seg", F.array("node")), bare)).alias("path"))
+        cols.append(F.when(in_loop, none).otherwise(F.transform(F.concat("seg", F.array("node")), bare)).alias("path"))
     return out.select(*cols)
 
 

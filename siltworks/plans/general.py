@@ -82,7 +82,7 @@ def p3_terms(spark: SparkSession, sf: str) -> DataFrame:
 def hierarchy_links(spark: SparkSession, sf: str) -> DataFrame:
     """(tree, node, parent) of the THREDDS catalogs and of the harvest."""
     raw = table(spark, sf, "thredds_nodes", ["node_id", "catalog_url", "thredds_id", "childof"]).where("node_id IS NOT NULL").distinct()
-    ids = raw.where("thredds_id IS NOT NULL AND catalog_url IS NOT NULL").groupBy("catalog_url", F.col("thredds_id").alias("wanted")).agg(F.min("node_id").alias("parent_id"))
+    ids = raw.where("thredds_id IS NOT NULL AND catalog_url IS NOT NULL").groupBy("catalog_url", F.col("thredds_id").alias("wanted")).agg(F.min("node_id").alias("parent_id")).hint("merge")
     wanted = F.regexp_replace("childof", _EDGE_SPACE, "")
     thredds = (
         raw.select("node_id", "catalog_url", F.when(wanted != "", wanted).alias("wanted"))
@@ -189,6 +189,15 @@ judged AS (
   SELECT *, EXISTS (SELECT 1 FROM spans s WHERE s.tab = e.tab AND s.k = e.k AND s.loaded_at <= e.recorded_at AND (s.deleted_at IS NULL OR s.deleted_at > e.recorded_at)) alive
   FROM edge e WHERE tab IS NOT NULL)"""
 
+_LINKS_SQL = """
+t AS (SELECT DISTINCT node_id, catalog_url, thredds_id, regexp_replace(childof, '^\\s+|\\s+$', '', 'g') up FROM thredds_nodes WHERE node_id IS NOT NULL),
+link(tree, node, parent) AS (
+  SELECT 'thredds', CAST(c.node_id AS VARCHAR), CAST(min(p.node_id) AS VARCHAR)
+  FROM t c LEFT JOIN t p ON p.catalog_url = c.catalog_url AND p.thredds_id = c.up AND c.up <> '' GROUP BY c.node_id
+  UNION ALL
+  SELECT 'harvest', h.url, min(p.url) FROM harvest_records h LEFT JOIN harvest_records p ON p.url = json_extract_string(h.harvest_details, '$.parent_url') AND trim(p.url) <> ''
+  WHERE h.url IS NOT NULL GROUP BY h.url)"""
+
 SQL = {
     "p2_found": f"WITH {_EDGES_SQL} SELECT DISTINCT edge_id FROM judged WHERE NOT alive",
     "p2_report": f"""
@@ -200,14 +209,8 @@ faulty(tab, k) AS (
 SELECT j.tab AS target_table, strftime(recorded_at, '%Y-%m') AS period, count(*) FILTER (NOT alive) AS n_direct, count(*) FILTER (alive) AS n_inherited
 FROM judged j WHERE NOT alive OR EXISTS (SELECT 1 FROM faulty f WHERE f.tab = j.tab AND f.k = j.k)
 GROUP BY ALL""",
-    "p4_found": """
-WITH RECURSIVE t AS (SELECT DISTINCT node_id, catalog_url, thredds_id, regexp_replace(childof, '^\\s+|\\s+$', '', 'g') up FROM thredds_nodes WHERE node_id IS NOT NULL),
-link(tree, node, parent) AS (
-  SELECT 'thredds', CAST(c.node_id AS VARCHAR), CAST(min(p.node_id) AS VARCHAR)
-  FROM t c LEFT JOIN t p ON p.catalog_url = c.catalog_url AND p.thredds_id = c.up AND c.up <> '' GROUP BY c.node_id
-  UNION ALL
-  SELECT 'harvest', h.url, min(p.url) FROM harvest_records h LEFT JOIN harvest_records p ON p.url = json_extract_string(h.harvest_details, '$.parent_url') AND trim(p.url) <> ''
-  WHERE h.url IS NOT NULL GROUP BY h.url),
+    "p4_found": f"""
+WITH RECURSIVE {_LINKS_SQL},
 down(tree, node, root_node, node_depth) AS (
   SELECT tree, node, node, CAST(0 AS BIGINT) FROM link WHERE parent IS NULL
   UNION ALL
@@ -215,4 +218,25 @@ down(tree, node, root_node, node_depth) AS (
 SELECT * FROM down
 UNION ALL
 SELECT tree, node, 'cycle', CAST(-1 AS BIGINT) FROM link WHERE (tree, node) NOT IN (SELECT (tree, node) FROM down)""",
+    "p4_paths": f"""
+WITH RECURSIVE {_LINKS_SQL},
+down(tree, node, root_node, node_depth, path) AS (
+  SELECT tree, node, node, CAST(0 AS BIGINT), [node] FROM link WHERE parent IS NULL
+  UNION ALL
+  SELECT l.tree, l.node, d.root_node, d.node_depth + 1, list_append(d.path, l.node) FROM down d JOIN link l ON l.tree = d.tree AND l.parent = d.node)
+SELECT tree, node, root_node, node_depth, CAST(to_json(path) AS VARCHAR) AS path FROM down
+UNION ALL
+SELECT tree, node, 'cycle', CAST(-1 AS BIGINT), '[]' FROM link WHERE (tree, node) NOT IN (SELECT (tree, node) FROM down)""",
+    "p4_descendants": f"""
+WITH RECURSIVE {_LINKS_SQL},
+ok(tree, node) AS (
+  SELECT tree, node FROM link WHERE parent IS NULL
+  UNION ALL
+  SELECT l.tree, l.node FROM ok d JOIN link l ON l.tree = d.tree AND l.parent = d.node),
+tied AS (SELECT l.* FROM link l JOIN ok USING (tree, node) WHERE parent IS NOT NULL),
+pair(tree, node, descendant, distance) AS (
+  SELECT tree, parent, node, CAST(1 AS BIGINT) FROM tied
+  UNION ALL
+  SELECT p.tree, t.parent, p.descendant, p.distance + 1 FROM pair p JOIN tied t ON t.tree = p.tree AND t.node = p.node)
+SELECT * FROM pair""",
 }

@@ -3,8 +3,12 @@
 Iterative operators cut their lineage by writing a stage as parquet into the
 shared folder that the cluster names in ``spark.checkpoint.dir``. Parquet is
 used instead of RDD checkpoints because a stage that is read again keeps column
-pruning, compression and exact size statistics (Catalyst decides on broadcast by
-the written size), and because it survives the loss of any executor.
+pruning and compression, and because it survives the loss of any executor.
+
+Catalyst decides on a broadcast by the written size of a stage, which compression
+can make a hundredth of what the rows take in memory. Operators whose stages hold
+texts or arrays therefore measure the rows and forbid the broadcast of what is large
+(``unless_large``).
 """
 
 from __future__ import annotations
@@ -100,12 +104,11 @@ class Stages:
         self.n = 0
         atexit.register(_delete, spark, self.root)
 
-    def put(self, df: DataFrame, schema=None) -> DataFrame:
+    def put(self, df: DataFrame) -> DataFrame:
         self.n += 1
         path = f"{self.root}/{self.n:03d}"
-        schema = df.schema
         df.write.parquet(path)
-        out = self.spark.read.schema(schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
         out._silt_path = path
         return out
 
@@ -115,6 +118,16 @@ class Stages:
             _delete(self.spark, path)
 
 
+#: Nothing whose rows take more than this, measured and not as written, is left to
+#: Catalyst to broadcast.
+BROADCAST_BYTES = 8 << 20
+
+
+def unless_large(df: DataFrame, size: float) -> DataFrame:
+    """``df``, of which it is known how many bytes its rows take, as a side of a join: large ones are only joined by sort-merge."""
+    return df.hint("merge") if size > BROADCAST_BYTES else df
+
+
 #: A key is hot when it holds more than one HOT_SHARE-th of all rows. At most
 #: HOT_SHARE keys can be hot, whatever the data, so the list of them may be
 #: broadcast and collected.

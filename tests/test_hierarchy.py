@@ -47,6 +47,19 @@ def test_random_graphs(spark, seed, every):
     assert run(spark, links, every=every) == brute(links)
 
 
+def test_paths_do_not_grow_around_loops(spark):
+    """A loop without splitter that much hangs from: its rows must not carry its length."""
+    loop = [("a", f"l{i}", f"l{(i + 1) % 400}") for i in range(400)] + [("a", f"t{i}", f"l{i % 400}") for i in range(400)]
+    chain = [("a", f"c{i}", f"c{i - 1}" if i else None) for i in range(50)]
+    assert run(spark, loop + chain, every=100_000) == brute(loop + chain)
+
+
+def test_pieces_of_paths_are_not_broadcast(spark):
+    df = spark.createDataFrame([("a", f"n{i}", f"n{i // 2}" if i else None, 1, "z") for i in range(300)], LINKS)
+    plan = resolve_forest(df, with_path=True)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_star(spark):
     links = [("a", "hub", None)] + [("a", f"n{i}", "hub") for i in range(500)]
     got = run(spark, links)
