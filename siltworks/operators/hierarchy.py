@@ -16,8 +16,8 @@ one join per level:
 A stop that is a root points to itself, and whether a key is a splitter is told by
 its hash, so neither takes a join of its own.
 
-Loops: a node that has walked further than there can be nodes ahead of it never
-stops. In step 2 these are the nodes on or below loops without a splitter, in step
+Loops: once a round brings no walker to a stop, all walkers point to walkers, so none
+will ever stop. In step 2 these are the nodes on or below loops without a splitter, in step
 3 those on or below loops with one. Both get root ``cycle`` and depth -1.
 
 Paths are expanded in a second pass over the nodes that proved to hang from a root,
@@ -39,7 +39,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import Stages, unless_large
+from ..runtime import BROADCAST_BYTES, Stages, unless_large
 
 CYCLE = "cycle"
 #: parts tree and node in a key; alone it is the stop of those who have none
@@ -52,23 +52,24 @@ def _walk(pointers: DataFrame, stages: Stages, with_path: bool) -> tuple[DataFra
     ``pointers`` has (node, next, dist, stopped[, seg]); next is stopped or is a
     node of pointers. seg lists the nodes from next down to, not including, node.
     """
-    state = stages.put(pointers)
-    stride, bound, size = 1, float("inf"), float("inf")
+    state, before = stages.put(pointers), -1
     while True:
-        held = state.agg(F.count(F.when(~F.col("stopped"), 1)).alias("n"), F.coalesce(F.sum(F.length("node") + F.length("next") + 32), F.lit(0)).alias("size")).first()
+        own, going = F.length("node") + F.length("next") + 32, ~F.col("stopped")
+        held = state.agg(F.count(F.when(going, 1)).alias("n"), F.coalesce(F.sum(own), F.lit(0)).alias("size"), F.coalesce(F.sum(F.when(going, own)), F.lit(0)).alias("going")).first()
         size = float("inf") if with_path else held["size"]
-        # whoever is still walking has at most this many nodes ahead, unless in a loop
-        bound = min(bound, stride + held["n"])
-        if not held["n"] or stride > bound:
+        # if nobody came to a stop, the walkers point to walkers only, and so they will for ever
+        if held["n"] in (0, before):
             break
-        a, b = state.where("NOT stopped").alias("a"), unless_large(state, size).alias("b")
+        before = held["n"]
+        a, b = state.where("NOT stopped"), unless_large(state, size)
+        if size > BROADCAST_BYTES >= held["going"] and not with_path:
+            a, b = F.broadcast(a), state  # few still walk, as measured: nothing is shuffled for them
         cols = [F.col("a.node"), F.col("b.next"), (F.col("a.dist") + F.col("b.dist")).alias("dist"), F.col("b.stopped")]
         if with_path:
             cols.append(F.concat("b.seg", "a.seg").alias("seg"))
-        moved = a.join(b, F.col("a.next") == F.col("b.node")).select(*cols)
+        moved = a.alias("a").join(b.alias("b"), F.col("a.next") == F.col("b.node")).select(*cols)
         old, state = state, stages.put(state.where("stopped").unionByName(moved))
         stages.drop(old)
-        stride *= 2
     return state.withColumn("next", F.when(F.col("stopped"), F.col("next"))).withColumnRenamed("next", "stop").drop("stopped"), size
 
 
