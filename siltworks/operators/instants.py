@@ -22,7 +22,7 @@ import struct
 import zoneinfo
 from collections.abc import Iterator
 from datetime import datetime, timezone
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -41,46 +41,81 @@ _MONTH = {m[:k]: i + 1 for i, m in enumerate(MONTHS) for k in {3, 4 if m == "sep
 _WEEKDAY = {d[:k] for d in WEEKDAYS for k in (2, 3, 4, len(d))}
 _EDGE = " \t\n\r\v\f   　​﻿"
 _US = 1_000_000
-_LAST_RULE_YEAR = 2120
+#: plans and zone tables that a worker remembers; free text brings ever new masks and names
+_PLANS, _ZONES = 4096, 1024
 
 
-@cache
-def zone_table(name: str, version: str = "") -> tuple[np.ndarray, np.ndarray] | None:
-    """(wall-clock thresholds, offsets) in seconds of a zone; None if it is unknown.
+def _second(year: int) -> int:
+    """The first second of a year."""
+    return int(datetime(year, 1, 1, tzinfo=timezone.utc).timestamp())
 
-    offsets[i] holds from thresholds[i-1] to thresholds[i] on the wall. A change's
+
+class ZoneTable:
+    """A zone's offsets by wall-clock time, in seconds.
+
+    ``offsets[i]`` holds from ``walls[i-1]`` to ``walls[i]`` on the wall. A change's
     threshold is the later of the two wall times at its instant: so repeated times
     take the offset before the change (the first), and so do skipped ones (moved
     forward by the gap).
+
+    Beyond the changes that the zone's file lists a rule holds for ever. It depends
+    only on the weekday of 1 January and on whether the year is a leap year, so the
+    table lists the rule's changes until each of these 14 kinds of years has come,
+    and later years are looked up as the first one of their kind.
     """
-    try:
+
+    def __init__(self, name: str):
         zone = zoneinfo.ZoneInfo(name)
+
+        def offset(t: int) -> int:
+            return int(zone.utcoffset(datetime.fromtimestamp(t, timezone.utc).astimezone(zone)).total_seconds())
+
+        at, first = _tzif(name) or ([], offset(-(2**31)))
+        now, now_offset = (at[-1][0], at[-1][1]) if at else (-(2**31), first)
+        year = max(datetime.fromtimestamp(now, timezone.utc).year, 2037) + 1
+        self.like: dict[tuple[int, bool], int] = {}
+        while len(self.like) < 14:
+            start = datetime(year, 1, 1)
+            self.like.setdefault((start.weekday(), (start.replace(year=year + 1) - start).days == 366), _second(year))
+            year += 1
+        self.end = _second(year)
+        for t in range(now + 1, self.end + 86400, 20 * 86400):
+            o = offset(t)
+            if o != now_offset:
+                low, high = now, t
+                while high - low > 1:
+                    mid = (low + high) // 2
+                    low, high = (mid, high) if offset(mid) == now_offset else (low, mid)
+                at.append((high, o))
+                now_offset = o
+            now = t
+        self.offsets = np.array([first, *(o for _, o in at)], np.int64)
+        walls = np.array([t + max(a, b) for (t, b), a in zip(at, self.offsets)], np.int64)
+        self.walls = np.maximum.accumulate(walls) if len(walls) else walls
+
+    def of(self, wall: np.ndarray) -> np.ndarray:
+        """The offsets at wall-clock times."""
+        late = wall >= self.end
+        if late.any():
+            wall = wall.copy()
+            years, which = np.unique(wall[late].astype("datetime64[s]").astype("datetime64[Y]").astype(np.int64) + 1970, return_inverse=True)
+            moved = []
+            for y in years.tolist():
+                leap = y % 4 == 0 and (y % 100 != 0 or y % 400 == 0)
+                start = int(np.datetime64(f"{y:04d}-01-01", "s").astype(np.int64))
+                moved.append(self.like[(start // 86400 + 3) % 7, leap] - start)
+            wall[late] += np.array(moved, np.int64)[which]
+        return self.offsets[np.searchsorted(self.walls, wall, side="right")]
+
+
+@lru_cache(_ZONES)
+def zone_table(name: str, version: str = "") -> ZoneTable | None:
+    """A zone's table, None if it is unknown; the database's version keeps tables of two versions apart."""
+    try:
+        return ZoneTable(name)
     except (zoneinfo.ZoneInfoNotFoundError, ValueError, OSError):
         return None
 
-    def offset(t: int) -> int:
-        return int(zone.utcoffset(datetime.fromtimestamp(t, timezone.utc).astimezone(zone)).total_seconds())
-
-    known = _tzif(name)
-    at, first = known if known else ([], offset(-2**31))
-    begin = at[-1][0] if at else -2**31
-    # beyond the listed changes a rule holds: look for its changes month by month
-    now, now_offset = begin, at[-1][1] if at else first
-    end = int(datetime(_LAST_RULE_YEAR, 1, 1, tzinfo=timezone.utc).timestamp())
-    for t in range(begin + 1, end, 20 * 86400):
-        o = offset(t)
-        if o != now_offset:
-            low, high = now, t
-            while high - low > 1:
-                mid = (low + high) // 2
-                low, high = (mid, high) if offset(mid) == now_offset else (low, mid)
-            at.append((high, o))
-            now_offset = o
-        now = t
-    offsets = np.array([first, *(o for _, o in at)], np.int64)
-    walls = np.array([t + max(a, b) for (t, b), a in zip(at, offsets)], np.int64)
-    return np.maximum.accumulate(walls) if len(walls) else walls, offsets
-
 
 def _tzif(name: str) -> tuple[list[tuple[int, int]], int] | None:
     """The changes that a zone's file lists, and the offset before the first."""
@@ -115,6 +150,7 @@ def _tzif(name: str) -> tuple[list[tuple[int, int]], int] | None:
     return [(t, info[w][0]) for t, w in zip(times, which)], first
 
 
+@lru_cache(1)
 def zone_version() -> str:
     """The version of the zone database in use, which keys the tables."""
     for root in zoneinfo.TZPATH:
@@ -289,7 +325,7 @@ class _Plan:
         return i == len(kinds)
 
 
-@cache
+@lru_cache(_PLANS)
 def plan_of(mask: str) -> _Plan:
     return _Plan(mask)
 
@@ -404,7 +440,7 @@ def _convert(values: list[str], plan: _Plan, zones: np.ndarray, day_first: np.nd
             tab = zone_table(z, zone_version())
             if tab is not None:
                 here = local & (zone == z)
-                shift[here] = tab[1][np.searchsorted(tab[0], wall[here], side="right")]
+                shift[here] = tab.of(wall[here])
     utc = wall - shift
     ok &= (utc >= -62135596800) & (utc < 253402300800)
     return utc * _US + us, ok

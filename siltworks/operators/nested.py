@@ -11,11 +11,11 @@ fixed, as small texts carry much work and must not be coalesced into few tasks.
 
 A list is read in whatever shape it is written: an array, an array of arrays, an
 object keyed by numbers, a single object, an object whose one member packs the
-list (``{"layer": [...]}``), or any of these as a string of JSON. Nulls and
-members that are no objects have no position.
+list (``{"layer": [...]}``), any of these as a string of JSON, and any number of them
+around each other. Nulls and members that are no objects have no position.
 
 The text itself may be packed too: as a string of JSON, as arrays, or both, with
-white space around it.
+white space or a byte order mark around it.
 
 Defined results: null, empty and incomplete texts have no rows; an object without
 key has key ''; objects may hold lists however deep inside members of any name; a
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..runtime import shuffle_width
 
+_SPACE = " \t\n\r\ufeff"
 _MAP, _ARR = "map<string,string>", "array<string>"
 _ITEM = "array<struct<m:map<string,string>,inner:array<string>>>"
 _ROW = "array<struct<parent_id:string,list_name:string,pos:bigint,object_id:string,attrs:map<string,string>>>"
@@ -40,12 +41,12 @@ def _let(value: Column, body) -> Column:
 
 
 def _trim(text: Column) -> Column:
-    """Without the white space of JSON at both ends."""
-    return F.trim(text, F.lit(" \t\n\r"))
+    """Without the white space of JSON, or a byte order mark, at both ends."""
+    return F.trim(text, F.lit(_SPACE))
 
 
 def _head(text: Column) -> Column:
-    return F.substring(F.ltrim(text, F.lit(" \t\n\r")), 1, 1)
+    return F.substring(F.ltrim(text, F.lit(_SPACE)), 1, 1)
 
 
 def _unpacked(text: Column) -> Column:
@@ -61,7 +62,7 @@ def _read(texts: Column, lists: tuple[str, ...]) -> Column:
 
     def of_object(m: Column) -> Column:
         keys = F.map_keys(m)
-        packs = F.forall(keys, lambda k: k.rlike("^[0-9]+$")) | ((F.size(m) == 1) & _head(F.map_values(m)[0]).isin("[", "{") & ~keys[0].isin(*lists))
+        packs = F.forall(keys, lambda k: k.rlike("^[0-9]+$")) | ((F.size(m) == 1) & ~keys[0].isin(*lists) & _head(F.map_values(m)[0]).isin("[", "{") & F.try_parse_json(F.map_values(m)[0]).isNotNull())
         return F.when(packs, F.struct(no_map.alias("m"), F.map_values(m).alias("inner"))).otherwise(F.struct(m.alias("m"), nothing.alias("inner")))
 
     def of_text(x: Column) -> Column:
@@ -70,22 +71,31 @@ def _read(texts: Column, lists: tuple[str, ...]) -> Column:
             .when(_head(x) == "[", F.struct(no_map.alias("m"), F.from_json(x, _ARR).alias("inner")))
         )
 
-    return F.filter(F.transform(texts, of_text), lambda s: s.isNotNull())
+    bare = F.transform(texts, lambda x: F.when(_head(x) == '"', _unpacked(_trim(x))).otherwise(x))
+    return F.filter(F.transform(bare, of_text), lambda s: s.isNotNull())
 
 
-def _members(text: Column, lists: tuple[str, ...], wraps: int) -> Column:
+def _members(text: Column, lists: tuple[str, ...]) -> Column:
     """All members of a list as maps, in written order, every packing taken off."""
-    got = _read(F.array(text), lists)
-    for _ in range(wraps):
-        got = F.flatten(F.transform(got, lambda s: F.when(s["m"].isNotNull(), F.array(s)).otherwise(F.coalesce(_read(s["inner"], lists), F.array().cast(_ITEM)))))
+
+    def opened(s: Column) -> Column:
+        return F.when(s["m"].isNotNull(), F.array(s)).otherwise(F.coalesce(_read(s["inner"], lists), F.array().cast(_ITEM)))
+
+    def step(acc: Column, _: Column) -> Column:
+        more = lambda got: F.struct(got.alias("got"), F.exists(got, lambda s: s["m"].isNull()).alias("packed"))
+        return F.when(acc["packed"], _let(F.flatten(F.transform(acc["got"], opened)), more)).otherwise(acc)
+
+    # each packing takes a bracket or a brace, so no more rounds can be needed; when nothing is packed they idle
+    packings = F.sequence(F.lit(1), F.length(F.regexp_replace(text, r"[^\[{]", "")) + 1)
+    start = F.struct(_read(F.array(text), lists).alias("got"), F.lit(True).alias("packed"))
+    got = F.aggregate(packings, start, step, lambda acc: acc["got"])
     return F.transform(F.filter(got, lambda s: s["m"].isNotNull()), lambda s: s["m"])
 
 
-def flatten_lists(records: DataFrame, row_id: str, body: str, lists: tuple[str, ...], key: str = "object_id", wraps: int = 4) -> DataFrame:
+def flatten_lists(records: DataFrame, row_id: str, body: str, lists: tuple[str, ...], key: str = "object_id") -> DataFrame:
     """Rows (<row_id>, parent_id, list_name, pos, object_id, attrs) of all list members.
 
-    attrs has the member's own fields as text, nested ones as JSON. ``wraps`` is
-    the number of packings that may lie around each other.
+    attrs has the member's own fields as text, nested ones as JSON.
     """
     lists = tuple(lists)
     no_maps = F.array().cast("array<map<string,string>>")
@@ -95,9 +105,9 @@ def flatten_lists(records: DataFrame, row_id: str, body: str, lists: tuple[str,
             own = F.coalesce(m[key], F.lit(""))
             return F.flatten(
                 F.transform(
-                    F.filter(F.map_entries(m), lambda e: e["key"].isin(*lists) & _head(e["value"]).isin("[", "{")),
+                    F.filter(F.map_entries(m), lambda e: e["key"].isin(*lists) & _head(e["value"]).isin("[", "{", '"')),
                     lambda e: F.transform(
-                        _members(e["value"], lists, wraps),
+                        _members(e["value"], lists),
                         lambda x, i: F.struct(own.alias("parent_id"), e["key"].alias("list_name"), i.cast("bigint").alias("pos"), F.coalesce(x[key], F.lit("")).alias("object_id"), x.alias("attrs")),
                     ),
                 )
@@ -107,7 +117,7 @@ def flatten_lists(records: DataFrame, row_id: str, body: str, lists: tuple[str,
 
     def within(objects: Column) -> Column:
         """Objects inside members that are no list: they may hold lists too."""
-        texts = F.flatten(F.transform(objects, lambda m: F.transform(F.filter(F.map_entries(m), lambda e: ~e["key"].isin(*lists) & _head(e["value"]).isin("[", "{")), lambda e: e["value"])))
+        texts = F.flatten(F.transform(objects, lambda m: F.transform(F.filter(F.map_entries(m), lambda e: ~e["key"].isin(*lists) & _head(e["value"]).isin("[", "{", '"')), lambda e: _unpacked(_trim(e["value"])))))
         flat = F.flatten(F.transform(texts, lambda x: F.when(_head(x) == "[", F.coalesce(F.from_json(x, _ARR), F.array().cast(_ARR))).otherwise(F.array(x))))
         opened = F.transform(flat, lambda x: F.when(_head(x) == "{", F.from_json(x, _MAP)).when(_head(x) == "[", F.create_map(F.lit(""), x)))
         return F.filter(opened, lambda m: m.isNotNull())

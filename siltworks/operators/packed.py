@@ -8,8 +8,10 @@ what it consumed:
     list    <- ws open values close ws END          open/close enclose everything
     values  <- item (separator item)* END
     item    <- ws quoted ws &(separator / END)       else backtrack
-             / ws bare                              error flag if it began as quoted
+             / ws bracketed ws &(separator / END)    else backtrack
+             / ws bare                              error flag if it began as quoted or with a bracket that never closes
     quoted  <- q (escape / doubled q / !q any)* q    q of " ' and paired “ ” „ « »
+    bracketed <- [ (bracketed / escape / any)* ]     [ of ( [ {; separators inside belong to the value
     bare    <- (escape / entity / shielded / !separator any)*
     shielded <- &boundary quoted &(any separator / comma / ws / END)   kept as written
     separator <- ; | + > newline tab full-width ; and written-out hierarchy signs
@@ -21,7 +23,9 @@ times.
 
 The grammar is recursive descent over one string, so it runs in Python workers
 over Arrow batches; the work a row is linear in its length for well-formed input,
-and a malformed quote costs at most one more scan of its item.
+and a malformed quote costs at most one more scan of its item. Where a quote of some
+kind can close at the latest and which bracket closes which is looked up in tables
+that one pass over the field makes.
 
 Defined results: null and blank fields have no values; a repeated delivery of a
 row counts once; values of equal text keep their own positions.
@@ -37,13 +41,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import ship
+from ..runtime import ship, shuffle_width
 
 # What separates, encloses and quotes.
 HARD = ";|+>\n\r\t\v\f；｜＞›»→"
 HIERARCHY = ("&gt;", "&#62;", "&#x3e;", "->", "=>")
 COMMA = ",，、"
 ENCLOSERS = {"[": "]", "{": "}", "(": ")", "<": ">"}
+BRACKETS = "[{("
 QUOTES = {'"': '"', "'": "'", "“": "”", "„": "“", "‘": "’", "«": "»", "`": "`"}
 _ENTITY = re.compile(r"&(?:[A-Za-z]{2,8}|#\d{1,7}|#[xX][0-9A-Fa-f]{1,6});")
 _JSON_ESCAPES = {"n": "\n", "t": "\t", "r": "\r", "b": "\b", "f": "\f"}
@@ -59,10 +64,14 @@ class _Field:
 
     def __init__(self, text: str, level: int, in_list: bool):
         self.s, self.n, self.level, self.in_list = text, len(text), level, in_list
+        self.closes: dict[int, int] | None = None
+        self.last: dict[tuple[str, bool], int] = {}
 
     def separator(self, i: int) -> int:
-        """Length of the separator at i, or 0."""
+        """Length of the separator at i, or 0. Nothing separates at level -1."""
         c = self.s[i]
+        if self.level < 0:
+            return 0
         if c == "&":
             return next((len(h) for h in HIERARCHY if h[0] == "&" and self.s[i : i + len(h)].lower() == h), 0)
         if c in "-=" and self.s[i + 1 : i + 2] == ">":
@@ -95,10 +104,33 @@ class _Field:
         j = self.blank(i)
         return j if j == self.n or self.separator(j) else None
 
+    def last_end(self, close: str, loose: bool) -> int:
+        """The last place at which a quote of this kind may close; -1 if there is none."""
+        got = self.last.get((close, loose))
+        if got is None:
+            got = self.s.rfind(close)
+            while got >= 0 and self.ends(got + 1, loose) is None:
+                got = self.s.rfind(close, 0, got)
+            self.last[close, loose] = got
+        return got
+
+    def bracketed(self, i: int) -> tuple[str, int] | None:
+        if i >= self.n or self.s[i] not in BRACKETS:
+            return None
+        if self.closes is None:
+            self.closes = _pairs(self.s)
+        end = self.closes.get(i)
+        if end is None or (j := self.ends(end + 1, False)) is None:
+            return None
+        inner = _Field(self.s[i + 1 : end], -1, self.in_list)
+        return inner.bare(0)[0], j
+
     def quoted(self, i: int, loose: bool = False) -> tuple[str, int] | None:
         if i >= self.n or self.s[i] not in QUOTES:
             return None
         close, out, i = QUOTES[self.s[i]], [], i + 1
+        if i > self.last_end(close, loose):
+            return None
         while i < self.n:
             if e := self.escape(i):
                 out.append(e[0])
@@ -145,11 +177,11 @@ class _Field:
         out, i, parted = [], 0, False
         while True:
             i = self.blank(i)
-            began = i < self.n and self.s[i] in QUOTES and self.s[i] != "'"
-            got = self.quoted(i)
+            got = self.quoted(i) or self.bracketed(i)
+            began = not got and i < self.n and (self.s[i] in QUOTES and self.s[i] != "'" or self.s[i] in BRACKETS and i not in self.closes)
             text, i = got or self.bare(i)
             if text := _strip(text):
-                out.append((text, began and not got))
+                out.append((text, began))
             if i >= self.n:
                 return out, parted
             parted = True
@@ -170,6 +202,26 @@ def parse_field(text: str | None, blanks: bool = False) -> list[tuple[str, bool]
     return got
 
 
+def _pairs(s: str) -> dict[int, int]:
+    """The closing bracket of each bracket that closes; brackets in double quotes or escaped do not count."""
+    out: dict[int, int] = {}
+    open_: list[int] = []
+    i = 0
+    while i < len(s):
+        c = s[i]
+        if c == "\\":
+            i += 1
+        elif c == '"':
+            end = s.find('"', i + 1)
+            i = end if end > 0 else i
+        elif c in BRACKETS:
+            open_.append(i)
+        elif open_ and c in "]})" and ENCLOSERS[s[open_[-1]]] == c:
+            out[open_.pop()] = i
+        i += 1
+    return out
+
+
 def _balanced(s: str) -> bool:
     """The first bracket closes with the last character, not before."""
     depth, i, quote = 0, 0, ""
@@ -211,5 +263,7 @@ def split_packed(fields: DataFrame, blanks_in: tuple[str, ...] = ()) -> DataFram
                         c.append(v)
             yield pd.DataFrame(dict(zip(("field_name", "row_id", "pos", "term", "malformed", "n_terms"), cols)))
 
-    once = fields.where(F.col("packed").isNotNull()).groupBy("field_name", "row_id").agg(F.min("packed").alias("packed"))
+    # of fixed width: small texts carry much work, and must not be coalesced into few tasks
+    whole = fields.where(F.col("packed").isNotNull()).repartition(shuffle_width(fields.sparkSession), "field_name", "row_id")
+    once = whole.groupBy("field_name", "row_id").agg(F.min("packed").alias("packed"))
     return once.mapInPandas(parse, "field_name string, row_id bigint, pos bigint, term string, malformed boolean, n_terms int")

@@ -3,9 +3,8 @@
 Tokens come from the document's URL, its element texts and its attributes; the
 text of known identifier elements stays whole, other texts are parted at blanks.
 Each token is classified, and what URLs contain (base and query values) is
-classified in turn. The chain text, URL, part, part's part is short, so it is
-unrolled: three rounds, all of them narrow array expressions on the row. One value
-is reported once a document, as it was found first.
+classified in turn, until nothing new is found: a worklist in the row, as narrow
+array expressions. One value is reported once a document, as it was found first.
 
 Defined results: documents without content report what their URL holds; JSON
 objects are no tokens; null URLs and texts give nothing.
@@ -19,7 +18,6 @@ from pyspark.sql import functions as F
 from ..functions import identifiers as I
 from .shred import tagged_texts
 
-ROUNDS = 3
 _TOKEN = "array<struct<tag:string,text:string>>"
 _FOUND = "array<struct<tag:string,extraction_type:string,match_type:string,original_text:string,potential_identifier:string>>"
 
@@ -57,18 +55,28 @@ def inner_tokens(ts: Column) -> Column:
     return F.flatten(F.transform(F.filter(ts, lambda t: I.is_url(t["text"])), lambda t: F.transform(F.filter(I.url_parts(t["text"]), lambda v: v != t["text"]), lambda v: F.struct(t["tag"].alias("tag"), v.alias("text")))))
 
 
+def all_tokens(ts: Column) -> Column:
+    """The tokens, then what their URLs contain, then what these contain, and so on to the end."""
+
+    def step(acc: Column, _: Column) -> Column:
+        # a part is shorter than its URL, so this ends; a token again is not opened again
+        more = lambda ts: F.struct(ts.alias("open"), F.concat(acc["found"], ts).alias("found"))
+        return F.when(F.size(acc["open"]) == 0, acc).otherwise(F.transform(F.array(F.array_except(inner_tokens(acc["open"]), acc["found"])), more)[0])
+
+    # a part is what a ? or = parts off, or the text without them; escaped ones come to light with their %
+    marks = F.transform(ts, lambda t: F.length(F.regexp_replace(t["text"], "[^?=%#;]", "")))
+    start = F.struct(F.array_distinct(ts).alias("open"), F.array_distinct(ts).alias("found"))
+    return F.aggregate(F.sequence(F.lit(0), F.coalesce(F.array_max(marks), F.lit(0)) + 1), start, step, lambda acc: acc["found"])
+
+
 def extract_identifiers(shredded: DataFrame, doc_id: str, url: str = "url", exclude_tags: tuple[str, ...] = ()) -> DataFrame:
     """(<doc_id>, tag, extraction_type, match_type, original_text, potential_identifier).
 
-    ``shredded`` has nodes. The rounds are columns of one projection; only found
-    identifiers are shuffled, to keep the first of each value.
+    ``shredded`` has nodes. Only found identifiers are shuffled, to keep the first of
+    each value.
     """
-    df = shredded.select(doc_id, tokens(F.col(url), F.col("nodes"), exclude_tags).alias("t0"))
-    for k in range(1, ROUNDS):
-        df = df.withColumn(f"t{k}", F.array_distinct(inner_tokens(F.col(f"t{k - 1}"))))
-    all_ = F.flatten(F.array(*[F.array_distinct(F.col(f"t{k}")) for k in range(ROUNDS)]))
     # one row a token from here: the patterns then run in generated code
-    token = df.select(doc_id, F.posexplode(all_).alias("at", "t"))
+    token = shredded.select(doc_id, F.posexplode(all_tokens(tokens(F.col(url), F.col("nodes"), exclude_tags))).alias("at", "t"))
     row = token.select(doc_id, "at", F.posexplode(classify(F.col("t"))).alias("nth", "f")).select(doc_id, F.struct("at", "nth").alias("at"), "f.*")
     row = row.where(~I.excluded(F.col("match_type"), F.col("potential_identifier")))
     # the first of a value in its document; documents are whole on one row, so the groups are small

@@ -131,10 +131,13 @@ def _p5_table(name: str, **fields: str):
     return query
 
 
-p5_relationships = _p5_table("relationships", relate="relate")
-p5_urls = _p5_table("urls", url="vcard:hasURL", at_time="bcube:atTime", url_source="bcube:hasUrlSource", status="http:statusCodeValue")
-p5_layers = _p5_table("layers", title="dc:title", description="dc:description", style="style")
-p5_webpages = _p5_table("webpages", title="dc:title")
+#: the columns of each list's flat table, by the members' fields
+_P5_FIELDS = {
+    "relationships": {"relate": "relate"},
+    "urls": {"url": "vcard:hasURL", "at_time": "bcube:atTime", "url_source": "bcube:hasUrlSource", "status": "http:statusCodeValue"},
+    "layers": {"title": "dc:title", "description": "dc:description", "style": "style"},
+    "webpages": {"title": "dc:title"},
+}
 
 
 # --- p6: instants -----------------------------------------------------------------
@@ -164,7 +167,7 @@ def p6_unreadable(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (p2_found, p2_report, p3_found, p3_terms, p4_found, p4_paths, p4_descendants, p5_found, p6_found, p6_unreadable)
-} | {"p5_relationships": p5_relationships, "p5_urls": p5_urls, "p5_layers": p5_layers, "p5_webpages": p5_webpages}
+} | {f"p5_{n}": _p5_table(n, **f) for n, f in _P5_FIELDS.items()}
 
 
 # --- the same in SQL, where SQL can say it -----------------------------------------
@@ -198,6 +201,29 @@ link(tree, node, parent) AS (
   SELECT 'harvest', h.url, min(p.url) FROM harvest_records h LEFT JOIN harvest_records p ON p.url = json_extract_string(h.harvest_details, '$.parent_url') AND trim(p.url) <> ''
   WHERE h.url IS NOT NULL GROUP BY h.url)"""
 
+#: the members of all lists: a value is opened as long as it packs others, an object gives its lists
+_MEMBERS_SQL = r"""
+doc AS (SELECT desc_id, min(body) body FROM descriptions WHERE json_valid(body) GROUP BY desc_id),
+step(desc_id, list_name, parent_id, list_place, place, v) AS (
+  SELECT desc_id, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST([] AS BIGINT[]), CAST([] AS BIGINT[]), CAST(body AS JSON) FROM doc
+  UNION ALL (
+  SELECT desc_id, list_name, parent_id, list_place, list_append(place, 0), CAST(v->>'$' AS JSON) FROM step
+  WHERE json_type(v) = 'VARCHAR' AND regexp_matches(v->>'$', '^\s*["\[{]') AND json_valid(v->>'$')
+  UNION ALL
+  SELECT s.desc_id, CASE WHEN enters THEN e.key WHEN packs THEN s.list_name END, CASE WHEN enters THEN coalesce(s.v->>'$.object_id', '') WHEN packs THEN s.parent_id END,
+    CASE WHEN enters THEN list_append(s.place, e.id) WHEN packs THEN s.list_place END, list_append(s.place, e.id), e.value
+  FROM (SELECT *, (json_type(v) = 'ARRAY' OR len(list_filter(json_keys(v), lambda k: NOT regexp_full_match(k, '[0-9]+'))) = 0
+    OR len(json_keys(v)) = 1 AND json_keys(v)[1] NOT IN ('relationships', 'urls', 'layers', 'webpages') AND json_type(json_extract(v, '$.*')[1]) IN ('ARRAY', 'OBJECT')) packs FROM step WHERE json_type(v) IN ('ARRAY', 'OBJECT')) s, LATERAL json_each(s.v) e,
+  LATERAL (SELECT json_type(s.v) = 'OBJECT' AND NOT (s.packs AND s.list_name IS NOT NULL) AND e.key IN ('relationships', 'urls', 'layers', 'webpages') enters) x)),
+member AS (SELECT *, row_number() OVER (PARTITION BY desc_id, list_place ORDER BY place) - 1 pos FROM step WHERE list_name IS NOT NULL AND json_type(v) = 'OBJECT' AND NOT (json_type(v) = 'ARRAY' OR len(list_filter(json_keys(v), lambda k: NOT regexp_full_match(k, '[0-9]+'))) = 0
+    OR len(json_keys(v)) = 1 AND json_keys(v)[1] NOT IN ('relationships', 'urls', 'layers', 'webpages') AND json_type(json_extract(v, '$.*')[1]) IN ('ARRAY', 'OBJECT')))"""
+
+
+def _p5_sql(name: str, **fields: str) -> str:
+    attrs = ", ".join(f"v->>'$.\"{k}\"' AS {a}" for a, k in fields.items())
+    return f"WITH RECURSIVE {_MEMBERS_SQL} SELECT desc_id, parent_id, pos, coalesce(v->>'$.object_id', '') AS object_id, {attrs} FROM member WHERE list_name = '{name}'"
+
+
 SQL = {
     "p2_found": f"WITH {_EDGES_SQL} SELECT DISTINCT edge_id FROM judged WHERE NOT alive",
     "p2_report": f"""
@@ -239,4 +265,5 @@ pair(tree, node, descendant, distance) AS (
   UNION ALL
   SELECT p.tree, t.parent, p.descendant, p.distance + 1 FROM pair p JOIN tied t ON t.tree = p.tree AND t.node = p.node)
 SELECT * FROM pair""",
-}
+    "p5_found": f"WITH RECURSIVE {_MEMBERS_SQL} SELECT desc_id, parent_id, list_name, pos, coalesce(v->>'$.object_id', '') AS object_id FROM member",
+} | {f"p5_{n}": _p5_sql(n, **f) for n, f in _P5_FIELDS.items()}

@@ -120,6 +120,21 @@ def test_csw_and_series(spark):
     assert found["datasets"].first().description == "A"
 
 
+def test_identifiers_in_nested_urls(spark):
+    """Redirects of redirects, escaped once more at each level, down to the identifier."""
+    from urllib.parse import quote
+
+    from siltworks.operators.unique_ids import extract_identifiers
+
+    urls = ["http://a0.test/x?id=10.5072/abc7"]
+    for k in range(1, 6):
+        urls.append(f"http://a{k}.test/go?u={quote(urls[-1], safe='')}")
+    docs = shred(spark.createDataFrame([(1, urls[-1], "<r><t>none</t></r>"), (2, None, "<r/>"), (3, "", None)], "doc_id bigint, url string, content string"), "content")
+    got = {(r.match_type, r.potential_identifier) for r in extract_identifiers(docs, "doc_id").collect()}
+    assert ("doi", "10.5072/abc7") in got
+    assert {("url", f"http://a{k}.test/{'go' if k else 'x'}") for k in range(6)} <= got
+
+
 def test_sources(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"id": "1", "url": "u", "raw_content": "<a/>"}')
     assert io.read_responses(spark, str(tmp_path / "a.json")).first().raw_content == "<a/>"

@@ -68,3 +68,18 @@ def test_rows(spark):
     got = {(r.field_name, r.row_id): r.utc for r in to_instants(df).collect()}
     assert got == {("f", 1): "2015-01-01T00:00:00.000000Z", ("f", 2): None, ("g", 1): "2014-12-31T15:00:00.000000Z"}
     assert to_instants(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("zone", ["Europe/Berlin", "America/New_York", "Africa/Casablanca", "Australia/Sydney", "Asia/Gaza", "Asia/Kolkata"])
+def test_rules_hold_for_ever(zone):
+    """Like the zone database itself, in years that no table lists."""
+    at = zoneinfo.ZoneInfo(zone)
+    for year in (2119, 2125, 2200, 2399, 2400, 9998):
+        for month, day in ((1, 1), (3, 28), (3, 31), (7, 1), (10, 30), (11, 2), (12, 31)):
+            want = datetime(year, month, day, 12, tzinfo=at).astimezone(timezone.utc)
+            assert one(f"{year}-{month:02d}-{day:02d}T12:00:00", zone) == want.strftime("%Y-%m-%dT%H:%M:%S.000000Z")
+
+
+def test_last_year():
+    assert one("9999-07-01T12:00:00", "Europe/Berlin") == "9999-07-01T10:00:00.000000Z"
+    assert one("9999-12-31T23:00:00", "America/New_York") is None

@@ -7,7 +7,7 @@ L = ("relationships", "urls", "layers", "webpages")
 
 
 def members(v):
-    if isinstance(v, str) and v.strip()[:1] in ("[", "{"):
+    if isinstance(v, str) and v.strip()[:1] in ("[", "{", '"'):
         try:
             return members(json.loads(v))
         except ValueError:
@@ -78,6 +78,20 @@ def test_numbered_members_keep_their_order(spark):
     assert [r.object_id for r in flatten_lists(df, "doc", "body", L).orderBy("pos").collect()] == ["a", "b", "c", "d"]
 
 
+def test_any_number_of_packings(spark):
+    one = {"object_id": "a"}
+    docs, want = [], []
+    for depth in (1, 5, 12):
+        for i, wrap in enumerate([lambda v: [v], lambda v: {"layer": [v]}, lambda v: {"0": v}, lambda v: json.dumps([v]), json.dumps, lambda v: "\n " + json.dumps([[v]])]):
+            v = [one, None, one]
+            for _ in range(depth if i < 4 or depth < 6 else 6):
+                v = wrap(v)
+            docs.append((depth * 10 + i, "\ufeff" + json.dumps({"object_id": "o", "layers": v, "other": json.dumps({"urls": v})})))
+            want += [(depth * 10 + i, p, n, k, "a") for n, p in (("layers", "o"), ("urls", "")) for k in (0, 1)]
+    got = [(r.doc, r.parent_id, r.list_name, r.pos, r.object_id) for r in flatten_lists(spark.createDataFrame(docs, "doc bigint, body string"), "doc", "body", L).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_empty(spark):
     assert flatten_lists(spark.createDataFrame([], "doc bigint, body string"), "doc", "body", L).count() == 0
 

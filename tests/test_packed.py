@@ -49,6 +49,29 @@ def test_malformed_quote_backtracks():
     assert parse_field('"a; b; c') == [('"a', True), ("b", False), ("c", False)]
 
 
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("[a; b]; c", [("a; b", False), ("c", False)]),
+        ("(a;b);(c;d)", [("a;b", False), ("c;d", False)]),
+        ("[[a;b];c]; {d|e}", [("[a;b];c", False), ("d|e", False)]),
+        ("[a], [b, c]", [("a", False), ("b, c", False)]),
+        ("[a; b", [("[a", True), ("b", False)]),
+        ("[a; (b); c", [("[a", True), ("b", False), ("c", False)]),
+        ("(WMS) service; x", [("(WMS) service", False), ("x", False)]),
+        (r"[a\]; b]; c", [("a]; b", False), ("c", False)]),
+        ("[]; a", [("a", False)]),
+    ],
+)
+def test_bracketed_items(text, want):
+    assert parse_field(text) == want
+
+
+@pytest.mark.parametrize("item", ["“a;", "'a;", '"a;', "[a;", "(a);"])
+def test_long_malformed_fields_take_linear_time(item):
+    assert len(parse_field(item * 50_000)) == 50_000
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text("abc ,;|\"'\\>&[]{}“”", max_size=12), max_size=5).map(";".join))
 def test_never_fails(text):
