@@ -54,7 +54,14 @@ _INVISIBLE = re.compile("[­͏؜ᅟᅠ឴឵᠎​-‏‪-‮⁠-⁤︀-️﻿]"
 _APART = re.compile(r"(?<![^\W\d_])(?:[^\W\d_][-_.* ]){2,}[^\W\d_](?![^\W\d_])")
 _WORD = re.compile(r"[^\W_][^\W_]*(?:[@$!|*€0-9]+[^\W_]+)*|[@$€][^\W_]+(?:[@$!|*€]+[^\W_]*)*|[.!?\n<>]+")
 _DRAWN = re.compile(r"([^\W\d_])\1{2,}")
-_TAG = re.compile(r"</?[a-z!?][^<>]{0,200}>|&[a-z]{2,6};", re.I)
+_COMMENT = re.compile(r"<!--(.*?)(?:-->|\Z)", re.S)
+_TAG = re.compile(r"</?[a-z!?][^<>]*>|&[a-z]{2,6};", re.I)
+_HELD = re.compile(r"=\s*(?:\"([^\"]*)\"|'([^']*)')")
+
+
+def _held(m: re.Match) -> str:
+    """A tag's attribute values as passages of their own; names of tags and attributes are no words."""
+    return " . ".join(["", *(a or b for a, b in _HELD.findall(m[0])), ""]) if "=" in m[0] else " . "
 
 
 def _undisguise(w: str) -> str:
@@ -79,7 +86,7 @@ def _undisguise(w: str) -> str:
 def passages(text: str) -> list[list[str]]:
     """The text's words, undisguised, parted at the ends of sentences."""
     t = _INVISIBLE.sub("", unicodedata.normalize("NFKC", text)).lower()
-    t = _TAG.sub(" . ", t)
+    t = _TAG.sub(_held, _COMMENT.sub(r" . \1 . ", t) if "<!--" in t else t)
     t = _APART.sub(lambda m: re.sub(r"[-_.* ]", "", m[0]), t)
     t = _DRAWN.sub(r"\1", t)
     out: list[list[str]] = [[]]

@@ -4,15 +4,15 @@ Records are copies if one of their canonical keys agrees; copies of copies are
 copies. ``find_copies`` works in three steps.
 
 1. Rows collapse to distinct combinations of keys, each with the smallest id and
-   the number of rows. Keys that hold a large share of all rows are found exactly
-   with partial counts; their rows are aggregated on two levels, first by salt,
-   then by key; all others take one shuffle.
+   the number of rows. Keys that hold more than a task's share of the rows are found
+   exactly with partial counts; their rows are aggregated on two levels, first by
+   salt, then by key; all others take one shuffle.
 2. Combinations that share a key are linked to the smallest id that has it (a
-   star, never all pairs), and linked groups are contracted to their components:
+   star, never all pairs; hot hubs are broadcast), and linked groups are contracted to their components:
    in each round every vertex joins its neighbour of highest random priority, so
    the number of vertices falls geometrically, whatever the shape of the chains.
 3. The smallest id of a component represents it; the rows of other ids are its
-   copies. Hot combinations are looked up by broadcast (there are few by the
+   copies, their number is the sum over the component's combinations. Hot combinations are looked up by broadcast (there are few by the
    definition of hot), the others by one join.
 
 Defined results: null and empty keys match nothing, so a row without keys is its
@@ -21,10 +21,12 @@ own resource; repeated deliveries of an id are one copy.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import Stages, hot_keys, is_hot, shuffle_width
+from ..runtime import HOT_LEAST, Stages, hot_keys, is_hot, salts_of
 
 _NOT_ALNUM = r"[^\p{L}\p{N}]"
 
@@ -68,17 +70,30 @@ def _digest(c: Column) -> Column:
     return F.when(c.isNotNull(), F.unhex(F.md5(c)))
 
 
-def _counted(rows: DataFrame, keys: list[str], hot: list[int], salts: int) -> DataFrame:
+def _counted(rows: DataFrame, keys: list[str], hot: dict[int, int]) -> DataFrame:
     """Smallest id and number of rows of each key: hot keys on two levels."""
     agg = [F.min("id").alias("id"), F.sum("n").cast("bigint").alias("n")]
     one = rows.withColumn("n", F.lit(1))
     if not hot:
         return one.groupBy(*keys).agg(*agg)
     warm = is_hot(hot, *keys)
-    first = one.where(warm).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts))).groupBy(*keys, "salt").agg(*agg)
+    first = one.where(warm).withColumn("salt", F.pmod(F.xxhash64("id"), salts_of(hot, *keys))).groupBy(*keys, "salt").agg(*agg)
     return one.where(~warm).groupBy(*keys).agg(*agg).unionByName(first.groupBy(*keys).agg(*agg))
 
 
+def _star(groups: DataFrame, key: str, least: int) -> DataFrame:
+    """Edges (a, b) from each id that has a key to the smallest id that has it."""
+    own = groups.where(F.col(key).isNotNull()).select(key, "id")
+    hub = own.groupBy(key).agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("m")).where("m > 1").select(key, "a")
+    hot = hot_keys(own, key, least=least)  # one url under very many identifiers, or the reverse
+    if not hot:
+        return own.join(hub, key).select("a", F.col("id").alias("b"))
+    warm = is_hot(hot, key)
+    cold = own.where(~warm).join(hub.where(~warm), key)
+    # as few hubs as there are hot keys: safe to broadcast
+    return cold.unionByName(own.where(warm).join(F.broadcast(hub.where(warm)), key)).select("a", F.col("id").alias("b"))
+
+
 def _components(edges: DataFrame, stages: Stages) -> DataFrame:
     """(v, root) of the vertices of edges (a, b): root is any vertex of the component."""
     edges = stages.put(edges.where("a <> b").distinct())
@@ -108,40 +123,67 @@ def _components(edges: DataFrame, stages: Stages) -> DataFrame:
     return out
 
 
-def find_copies(records: DataFrame, row_id: str, keys: dict[str, Column], salts: int | None = None) -> DataFrame:
-    """(row_id, keep_id, n) of all distinct combinations and rows: see the columns below.
+@dataclass(frozen=True)
+class _Collapsed:
+    """Rows (id, keys) of a table, each once, and their combinations of keys (keys, n, keep_id)."""
 
-    Returns one row per input id: (id, keep_id). keep_id is the smallest id among
-    the id's copies, itself included. ``keys`` are named canonical keys.
-    """
-    spark = records.sparkSession
-    stages = Stages(spark, "copies")
-    salts = salts or max(8, shuffle_width(spark) // 2)
+    rows: DataFrame
+    groups: DataFrame
+    names: list[str]
+    hot: dict[int, int]
+
+    @property
+    def keyed(self) -> DataFrame:
+        return self.rows.where(" OR ".join(f"{k} IS NOT NULL" for k in self.names))
+
+    @property
+    def alone(self) -> DataFrame:
+        return self.rows.where(" AND ".join(f"{k} IS NULL" for k in self.names))
+
+
+def _collapse(records: DataFrame, row_id: str, keys: dict[str, Column], least: int) -> _Collapsed:
+    stages = Stages(records.sparkSession, "copies")
     names = list(keys)
-    rows = records.where(F.col(row_id).isNotNull()).select(F.col(row_id).alias("id"), *[_digest(c).alias(k) for k, c in keys.items()])
-    rows = stages.put(rows)
-    keyed = rows.where(" OR ".join(f"{k} IS NOT NULL" for k in names))
-    hot = hot_keys(keyed, *names)
-    groups = stages.put(_counted(keyed, names, hot, salts))
-    edges = None
-    for k in names:
-        own = groups.where(F.col(k).isNotNull()).select(k, "id")
-        star = own.groupBy(k).agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("m")).where("m > 1").select(k, "a")
-        e = own.join(star, k).select("a", F.col("id").alias("b"))
-        edges = e if edges is None else edges.unionAll(e)
+    rows = stages.put(records.where(F.col(row_id).isNotNull()).select(F.col(row_id).alias("id"), *[_digest(c).alias(k) for k, c in keys.items()]).distinct())
+    found = _Collapsed(rows, rows, names, {})
+    hot = hot_keys(found.keyed, *names, least=least)
+    groups = stages.put(_counted(found.keyed, names, hot))
+    edges = _star(groups, names[0], least)
+    for k in names[1:]:
+        edges = edges.unionAll(_star(groups, k, least))
     comp = _components(edges, stages)
     if comp is not None:
         keep = comp.groupBy("root").agg(F.min("v").alias("keep_id"))
         groups = groups.join(comp.join(keep, "root").select(F.col("v").alias("id"), "keep_id"), "id", "left").select(*names, "n", F.coalesce("keep_id", "id").alias("keep_id"))
     else:
         groups = groups.select(*names, "n", F.col("id").alias("keep_id"))
-    same = lambda g: [keyed[k].eqNullSafe(g[k]) for k in names]
-    warm = is_hot(hot, *names)
-    cold = groups.where(~warm) if hot else groups
-    found = keyed.where(~warm).join(cold, same(cold)) if hot else keyed.join(cold, same(cold))
+    return _Collapsed(rows, groups, names, hot)
+
+
+def find_copies(records: DataFrame, row_id: str, keys: dict[str, Column], least: int = HOT_LEAST) -> DataFrame:
+    """(id, keep_id) of every input id, once: keep_id is the smallest id among its copies, itself included.
+
+    ``keys`` are named canonical keys; ``least`` is the number of rows below which a
+    key is never hot.
+    """
+    got = _collapse(records, row_id, keys, least)
+    same = lambda g: [got.keyed[k].eqNullSafe(g[k]) for k in got.names]
+    groups, keyed, warm = got.groups, got.keyed, is_hot(got.hot, *got.names)
+    cold = groups.where(~warm) if got.hot else groups
+    found = keyed.where(~warm).join(cold, same(cold)) if got.hot else keyed.join(cold, same(cold))
     out = found.select("id", "keep_id")
-    if hot:
+    if got.hot:
         few = groups.where(warm)  # at most as many as hot keys: safe to broadcast
         out = out.unionAll(keyed.where(warm).join(F.broadcast(few), same(few)).select("id", "keep_id"))
-    alone = rows.where(" AND ".join(f"{k} IS NULL" for k in names)).select("id", F.col("id").alias("keep_id"))
-    return out.unionAll(alone).groupBy("id").agg(F.min("keep_id").alias("keep_id"))
+    return out.unionAll(got.alone.select("id", F.col("id").alias("keep_id"))).groupBy("id").agg(F.min("keep_id").alias("keep_id"))
+
+
+def count_copies(records: DataFrame, row_id: str, keys: dict[str, Column], least: int = HOT_LEAST) -> DataFrame:
+    """(keep_id, n_copies): one row per resource, counted by the aggregation of the keys.
+
+    Equal deliveries of an id count once; an id that comes with several contents counts
+    with each of them.
+    """
+    got = _collapse(records, row_id, keys, least)
+    counted = got.groups.groupBy("keep_id").agg(F.sum("n").cast("bigint").alias("n_copies"))
+    return counted.unionAll(got.alone.select(F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("n_copies"))).groupBy("keep_id").agg(F.sum("n_copies").cast("bigint").alias("n_copies"))

@@ -91,7 +91,7 @@ def best_fit_decreasing(sizes: Iterable[int], capacity: int) -> list[int]:
 
 
 def _pack(ids: np.ndarray, sizes: np.ndarray, capacity: int) -> dict[str, np.ndarray]:
-    """Pieces of one shard with their bins."""
+    """Pieces of one shard with their bins; -1 for items that need no room."""
     full = sizes // capacity
     rest = sizes - full * capacity
     # full pieces fill their bins; pieces are numbered from the text's beginning
@@ -101,12 +101,14 @@ def _pack(ids: np.ndarray, sizes: np.ndarray, capacity: int) -> dict[str, np.nda
     left = np.flatnonzero(rest)
     order = left[np.lexsort((ids[left], -rest[left]))]
     bins = np.array(best_fit_decreasing(rest[order].tolist(), capacity), np.int64)
+    none = np.flatnonzero(sizes == 0)
+    zero = np.zeros(len(none), np.int64)
     return {
-        "id": np.concatenate([ids[who], ids[order]]),
-        "piece": np.concatenate([piece, full[order]]),
-        "begin": np.concatenate([piece * capacity, full[order] * capacity]),
-        "n": np.concatenate([np.full(len(who), capacity, np.int64), rest[order]]),
-        "bin": np.concatenate([np.arange(len(who), dtype=np.int64), bins + len(who)]),
+        "id": np.concatenate([ids[who], ids[order], ids[none]]),
+        "piece": np.concatenate([piece, full[order], zero]),
+        "begin": np.concatenate([piece * capacity, full[order] * capacity, zero]),
+        "n": np.concatenate([np.full(len(who), capacity, np.int64), rest[order], zero]),
+        "bin": np.concatenate([np.arange(len(who), dtype=np.int64), bins + len(who), zero - 1]),
     }
 
 
@@ -114,7 +116,8 @@ def pack(items: DataFrame, row_id: str, size: str, containers: dict[str, int], s
     """(container_kind, bin_id, <row_id>, piece, begin, n_tokens): who lies where.
 
     ``containers`` maps a kind to its capacity. bin_id is unique within the kind.
-    One shuffle of (id, size) rows, by shard.
+    One shuffle of (id, size) rows, by shard; the size is read once, as it may be
+    dear: items without size go through the shards like all others.
     """
     spark = items.sparkSession
     ship(spark)
@@ -125,10 +128,9 @@ def pack(items: DataFrame, row_id: str, size: str, containers: dict[str, int], s
     sharded = own.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards))).withColumn("k", kind).select("id", "size", "shard", "k.*")
 
     def packed(pdf: pd.DataFrame) -> pd.DataFrame:
-        got = _pack(pdf["id"].to_numpy(), pdf["size"].to_numpy(), int(pdf["capacity"].iloc[0]))
-        return pd.DataFrame({"container_kind": pdf["kind"].iloc[0], "bin_id": (int(pdf["shard"].iloc[0]) << 32) + got["bin"], "id": got["id"], "piece": got["piece"], "begin": got["begin"], "n_tokens": got["n"]})
+        got = _pack(pdf["id"].to_numpy(), np.maximum(pdf["size"].to_numpy(), 0), int(pdf["capacity"].iloc[0]))
+        bins = pd.Series((int(pdf["shard"].iloc[0]) << 32) + got["bin"], dtype="Int64").mask(got["bin"] < 0)
+        return pd.DataFrame({"container_kind": pdf["kind"].iloc[0], "bin_id": bins, "id": got["id"], "piece": got["piece"], "begin": got["begin"], "n_tokens": got["n"]})
 
     schema = "container_kind string, bin_id bigint, id bigint, piece bigint, begin bigint, n_tokens bigint"
-    full = sharded.where("size > 0").groupBy("kind", "shard").applyInPandas(packed, schema)
-    none = sharded.where("size <= 0").select(F.col("kind").alias("container_kind"), F.lit(None).cast("bigint").alias("bin_id"), "id", F.lit(0).cast("bigint").alias("piece"), F.lit(0).cast("bigint").alias("begin"), F.lit(0).cast("bigint").alias("n_tokens"))
-    return full.unionByName(none).withColumnRenamed("id", row_id)
+    return sharded.groupBy("kind", "shard").applyInPandas(packed, schema).withColumnRenamed("id", row_id)

@@ -8,26 +8,26 @@ from pyspark.sql import functions as F
 from ..runtime import table
 from .abuse import score_documents
 from .bpe import count_tokens, encode_texts
-from .copies import find_copies, text_key, url_key
+from .copies import count_copies, find_copies, text_key, url_key
 from .mojibake import find_mojibake
 from .packing import pack
 
 # --- p1: copies under other spellings -------------------------------------------
 
 
-def copies(spark: SparkSession, sf: str) -> DataFrame:
+def _resources(spark: SparkSession, sf: str):
     rows = table(spark, sf, "url_entities", ["url_id", "vcard_hasurl", "dc_identifier"])
-    return find_copies(rows, "url_id", {"u": url_key(F.col("vcard_hasurl")), "i": text_key(F.col("dc_identifier"))})
+    return rows, "url_id", {"u": url_key(F.col("vcard_hasurl")), "i": text_key(F.col("dc_identifier"))}
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     """Every copy with the smallest id of its copies."""
-    return copies(spark, sf).where("id > keep_id").select("keep_id", F.col("id").alias("dup_id"))
+    return find_copies(*_resources(spark, sf)).where("id > keep_id").select("keep_id", F.col("id").alias("dup_id"))
 
 
 def p1_resources(spark: SparkSession, sf: str) -> DataFrame:
     """One row per resource, with its number of copies and its first spelling."""
-    counted = copies(spark, sf).groupBy("keep_id").agg(F.count(F.lit(1)).alias("n_copies"))
+    counted = count_copies(*_resources(spark, sf))
     first = table(spark, sf, "url_entities", ["url_id", "vcard_hasurl", "dc_identifier"]).groupBy(F.col("url_id").alias("keep_id")).agg(F.min("vcard_hasurl").alias("vcard_hasurl"), F.min("dc_identifier").alias("dc_identifier"))
     return counted.join(first, "keep_id")
 

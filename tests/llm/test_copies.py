@@ -1,11 +1,10 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 import siltworks.runtime as runtime
 from pyspark.sql import functions as F
-from siltworks.llm import copies
-from siltworks.llm.copies import find_copies, text_key, url_key
+from siltworks.llm.copies import count_copies, find_copies, text_key, url_key
 
 SCHEMA = "id bigint, url string, ident string, keep_id bigint, n int"
 
@@ -54,23 +53,31 @@ def brute(rows):
     return {i: find(i) for i in parent}
 
 
-@pytest.mark.parametrize("hot", [False, True])
-def test_brute_force(spark, monkeypatch, hot):
-    if hot:
-        monkeypatch.setattr(copies, "hot_keys", lambda df, *k: runtime.hot_keys(df, *k, share=8, least=20))
+def keys():
+    return {"u": url_key(F.col("url")), "i": text_key(F.col("ident"))}
+
+
+@pytest.mark.parametrize("least", [20_000, 20])
+def test_brute_force(spark, least):
+    """With and without hot keys: of both keys together, and of one under many others."""
     rng = random.Random(6)
     rows = []
     for i in range(600):
         u = "http://h.test/hot" if rng.random() < 0.3 else rng.choice([None, "", f"http://h.test/{rng.randint(0, 300)}"])
-        d = None if u and u.endswith("hot") and rng.random() < 0.9 else rng.choice([None, "", f"ID {rng.randint(0, 250)}", f"id-{rng.randint(0, 250)}"])
+        d = None if u and u.endswith("hot") and rng.random() < 0.5 else rng.choice([None, "", f"ID {rng.randint(0, 250)}", f"id-{rng.randint(0, 250)}"])
         rows.append((i, u, d))
     rows += [(1000 + i, f"http://c.test/{i // 2}", f"c{(i + 1) // 2}") for i in range(80)]  # one long chain
     rng.shuffle(rows)
     df = spark.createDataFrame([(*r, 1, 1) for r in rows + rows[:30]], SCHEMA)
-    out = find_copies(df, "id", {"u": url_key(F.col("url")), "i": text_key(F.col("ident"))}).collect()
-    assert {r.id: r.keep_id for r in out} == brute(rows) and len(out) == len({r[0] for r in rows})
+    if least == 20:
+        assert runtime.hot_keys(df, "url", least=least)
+    out = find_copies(df, "id", keys(), least).collect()
+    want = brute(rows)
+    assert {r.id: r.keep_id for r in out} == want and len(out) == len({r[0] for r in rows})
+    counted = {r.keep_id: r.n_copies for r in count_copies(df, "id", keys(), least).collect()}
+    assert counted == Counter(want.values())
 
 
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
-    assert find_copies(df, "id", {"u": url_key(F.col("url")), "i": text_key(F.col("ident"))}).count() == 0
+    assert find_copies(df, "id", keys()).count() == 0 and count_copies(df, "id", keys()).count() == 0

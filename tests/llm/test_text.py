@@ -167,6 +167,13 @@ def test_packing_rows(spark, shard_items):
     assert pack(df.limit(0), "doc_id", "size", {"a": 512}).count() == 0
 
 
+def test_sizes_are_read_once(spark):
+    """The tokenizer runs once over the texts, whatever is done with their sizes."""
+    docs = spark.createDataFrame([(i, "a b c" * i) for i in range(20)], "doc_id bigint, text string")
+    plan = pack(count_tokens(docs, "doc_id", "text"), "doc_id", "n_tokens", {"a": 16, "b": 64})._jdf.queryExecution().executedPlan().toString()
+    assert plan.partition("Initial Plan")[0].count("ArrowEvalPython") == 1
+
+
 # --- abuse --------------------------------------------------------------------------------------
 
 
@@ -212,3 +219,14 @@ def test_abuse_rows(spark):
     assert sum(got[i].abusive == y for i, (_, y) in enumerate(corpus(1))) > 390
     assert {r.score for r in abuse.score_documents(d, lab.limit(0)).where("score IS NOT NULL").collect()} == {0.0}
     assert abuse.score_documents(d.limit(0), lab).count() == 0
+
+
+def test_markup_is_no_hiding_place():
+    """Names of tags and attributes are no words, however long the tag; what is written in them is."""
+    from siltworks.llm.abuse import passages
+
+    long = "<a " + " ".join(f"name{i}=\"v\"" for i in range(200)) + ">"
+    assert {w for p in passages(f"one {long} two") for w in p} == {"one", "two", "v"}
+    assert passages("x <img alt='bad words here'> y") == [["x"], ["bad", "words", "here"], ["y"]]
+    assert passages("x <!-- bad > words --> y") == [["x"], ["bad"], ["words"], ["y"]]
+    assert passages("<b>x</b><br/>y") == [["x"], ["y"]]
