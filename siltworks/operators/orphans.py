@@ -11,8 +11,8 @@ key are sorted together by time; the record is alive at time t exactly if the
 greatest end among the spans that began by t lies after t. One shuffle, one sort,
 constant memory a key, no product of edges and spans.
 
-Skew: a hot key's edges are spread over salts and only its spans are repeated
-per salt. Repeated deliveries of an edge count once.
+Skew: a hot key's edges are spread over as many salts as they would fill tasks, and
+only its spans are repeated per salt. Repeated deliveries of an edge count once.
 
 Defined results: an edge whose relate or object_id is null is no reference; a
 relate that belongs to no target table is skipped; an object_id without 32 hex
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..runtime import Stages, hot_keys, is_hot, shuffle_width
+from ..runtime import HOT_LEAST, Stages, hot_keys, salts_of
 
 _FOREVER = "9999-12-31 00:00:00"
 
@@ -66,7 +66,7 @@ def orphan_edges(
     targets: list[Target],
     relates: dict[str, str],
     sources: dict[str, str],
-    salts: int | None = None,
+    least: int = HOT_LEAST,
 ) -> DataFrame:
     """Rows (edge_id, target, recorded_at, orphan, depth) of all orphaned edges.
 
@@ -74,7 +74,8 @@ def orphan_edges(
     ``relates`` maps a relate to a target's name, ``sources`` a src_kind to the
     target table whose records it names. orphan is ``direct`` (depth 0) or
     ``inherited`` (depth = rounds the fault needed to arrive). Each edge_id comes
-    once for each kind of fault that its deliveries have.
+    once for each kind of fault that its deliveries have. ``least`` is the number of
+    edges below which a key is never hot.
     """
     spark = edges.sparkSession
     at = {t.name: i for i, t in enumerate(targets)}
@@ -94,13 +95,10 @@ def orphan_edges(
         spans = s if spans is None else spans.unionAll(s)
     spans = spans.where("key IS NOT NULL AND t IS NOT NULL AND until > t")
 
-    hot = hot_keys(e, "kind", "key")
-    salts = salts or max(8, shuffle_width(spark) // 2)
-    e = e.withColumn("salt", F.when(is_hot(hot, "kind", "key"), F.pmod(F.xxhash64("edge_id"), F.lit(salts))).otherwise(0).cast("int"))
-    if hot:
-        spans = spans.withColumn("salt", F.explode(F.when(is_hot(hot, "kind", "key"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-    else:
-        spans = spans.withColumn("salt", F.lit(0))
+    hot = hot_keys(e, "kind", "key", least=least)
+    salts = salts_of(hot, "kind", "key")
+    e = e.withColumn("salt", F.pmod(F.xxhash64("edge_id"), salts).cast("int"))
+    spans = spans.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)) if hot else F.lit(0))
 
     both = spans.unionByName(e.withColumn("t", F.col("recorded_at")).withColumn("is_edge", F.lit(True)), allowMissingColumns=True)
     # at one moment spans come first: a record loaded at t is there at t

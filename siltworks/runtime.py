@@ -128,31 +128,39 @@ def unless_large(df: DataFrame, size: float) -> DataFrame:
     return df.hint("merge") if size > BROADCAST_BYTES else df
 
 
-#: A key is hot when it holds more than one HOT_SHARE-th of all rows. At most
-#: HOT_SHARE keys can be hot, whatever the data, so the list of them may be
-#: broadcast and collected.
-HOT_SHARE = 256
 #: Below this many rows a key is never hot: one task handles it in a second.
 HOT_LEAST = 20_000
 
 
-def hot_keys(df: DataFrame, *keys: str, share: int = HOT_SHARE, least: int = HOT_LEAST) -> list[int]:
-    """Hashes of the keys that hold more than 1/share of the rows.
+def hot_keys(df: DataFrame, *keys: str, least: int = HOT_LEAST) -> dict[int, int]:
+    """Hashes of the keys that alone fill a task, each with the number of its salts.
 
-    Counts are exact: every task counts its own rows first, only the partial
-    counts are shuffled. The result has at most ``share`` entries; a hash
-    collision merely treats one key more as hot, which changes no result.
+    A key is hot when it holds more rows than the average task of a shuffle; its salts
+    are as many as the tasks that it would fill, rounded up to a power of two. There are
+    at most as many hot keys as shuffle partitions, whatever the data, so their list may
+    be collected and broadcast. Counts are exact: every task counts its own rows first,
+    only the partial counts are shuffled. A hash collision merely treats one key more
+    as hot, which changes no result.
     """
+    width = shuffle_width(df.sparkSession)
     counted = df.groupBy(F.xxhash64(*keys).alias("h")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    rows = counted.orderBy(F.desc("n"), "h").limit(share).collect()
+    rows = counted.orderBy(F.desc("n"), "h").limit(width).collect()
     if not rows:
-        return []
-    total = df.count()
-    return [r.h for r in rows if r.n * share > total]
+        return {}
+    task = max(least, df.count() / width)
+    return {r.h: 1 << (-int(-r.n // task)).bit_length() for r in rows if r.n >= task}
 
 
-def is_hot(hot: list[int], *keys) -> F.Column:
-    return F.xxhash64(*keys).isin(hot) if hot else F.lit(False)
+def is_hot(hot: dict[int, int], *keys) -> F.Column:
+    return F.xxhash64(*keys).isin(list(hot)) if hot else F.lit(False)
+
+
+def salts_of(hot: dict[int, int], *keys) -> F.Column:
+    """The number of a key's salts: 1 unless it is hot."""
+    out = F.lit(1)
+    for n in sorted(set(hot.values())):
+        out = F.when(F.xxhash64(*keys).isin([h for h, m in hot.items() if m == n]), F.lit(n)).otherwise(out)
+    return out
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -63,9 +63,9 @@ def fixture(seed=1, n=600):
     return edges + edges[:40], rows
 
 
-def run(spark, edges, rows):
+def run(spark, edges, rows, **kw):
     targets = [Target(t, spark.createDataFrame(rows[t], ROWS)) for t in "ab"]
-    out = orphan_edges(spark.createDataFrame(edges, EDGES), targets, {"refs:a": "a", "refs:b": "b"}, {"dataset": "a", "description": "b"}).collect()
+    out = orphan_edges(spark.createDataFrame(edges, EDGES), targets, {"refs:a": "a", "refs:b": "b"}, {"dataset": "a", "description": "b"}, **kw).collect()
     return {r.edge_id for r in out if r.orphan == "direct"}, {r.edge_id for r in out if r.orphan == "inherited"}, out
 
 
@@ -76,10 +76,11 @@ def test_brute_force(spark):
     assert len(out) == len({(r.edge_id, r.orphan) for r in out})
 
 
-def test_salted_hot_key(spark, monkeypatch):
-    monkeypatch.setattr(orphans, "hot_keys", lambda df, *k: runtime.hot_keys(df, *k, share=8, least=20))
+def test_salted_hot_key(spark):
     edges, rows = fixture(5)
-    direct, inherited, _ = run(spark, edges, rows)
+    hot = runtime.hot_keys(spark.createDataFrame(edges, EDGES).select(orphans.uuid_key("object_id").alias("k")), "k", least=20)
+    assert hot and max(hot.values()) > 1 and len(hot) <= runtime.shuffle_width(spark)
+    direct, inherited, _ = run(spark, edges, rows, least=20)
     assert (direct, inherited) == brute(edges, rows["a"], rows["b"])
 
 
