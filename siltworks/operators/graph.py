@@ -12,9 +12,9 @@ PREFIXES = {
     "bcube": "http://purl.org/BCube/#", "vcard": "http://www.w3.org/TR/vcard-rdf/#", "esip": "http://purl.org/esip/#", "bibo": "http://purl.org/ontology/bibo/#", "dcat": "http://www.w3.org/TR/vocab-dcat/#", "http": "http://www.w3.org/2011/http#",
     "dc": "http://purl.org/dc/elements/1.1/", "dcterms": "http://purl.org/dc/terms/", "foaf": "http://xmlns.com/foaf/0.1/", "xsd": "http://www.w3.org/2001/XMLSchema#", "owl": "http://www.w3.org/2002/07/owl#", "rdf": "http://www.w3.org/1999/02/22-rdf-syntax-ns#",
 }
-TYPES = {"catalog_records": "dcat:CatalogRecord", "webpages": "bibo:WebPage", "urls": "bcube:Url", "layers": "bcube:Layer", "services": "bcube:service", "datasets": "dcat:Dataset", "keywords": "bcube:thesaurusSubset", "publishers": "foaf:Organization"}
+TYPES = {"catalog_records": "dcat:CatalogRecord", "webpages": "bibo:WebPage", "urls": "bcube:Url", "layers": "bcube:Layer", "services": "bcube:service", "datasets": "dcat:Dataset", "keywords": "bcube:thesaurusSubset", "publishers": "foaf:Organization", "items": "dcat:Dataset", "rss_items": "dcat:Dataset", "coverages": "bcube:Layer"}
 PREDICATES = {
-    "title": "dcterms:title", "description": "dc:description", "identifier": "dcterms:identifier", "dateCreated": "bcube:dateCreated", "lastUpdated": "bcube:lastUpdated", "rdf_type": "rdf:type", "spatial_wkt": "dc:spatial", "west": "esip:westBound", "east": "esip:eastBound", "south": "esip:southBound", "north": "esip:northBound",
+    "title": "dcterms:title", "description": "dc:description", "abstract": "dc:description", "id": "dcterms:identifier", "identifier": "dcterms:identifier", "dateCreated": "bcube:dateCreated", "lastUpdated": "bcube:lastUpdated", "rdf_type": "rdf:type", "spatial_wkt": "dc:spatial", "west": "esip:westBound", "east": "esip:eastBound", "south": "esip:southBound", "north": "esip:northBound",
     "startDate": "esip:startDate", "endDate": "esip:endDate", "partOf": "dc:partOf", "hasType": "bcube:hasType", "hasValue": "bcube:hasValue", "name": "foaf:name", "vcard_hasURL": "vcard:hasURL", "atTime": "bcube:atTime", "httpStatusCode": "http:statusCodeValue", "reasonPhrase": "http:reasonPhrase",
     "statusFamilyCode": "bcube:HTTPStatusFamilyCode", "statusFamilyType": "bcube:HTTPStatusFamilyType", "hasUrlSource": "bcube:hasUrlSource", "hasConfidence": "bcube:hasConfidence", "validatedOn": "bcube:validatedOn", "dc_identifier": "dc:identifier",
 }

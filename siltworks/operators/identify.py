@@ -33,7 +33,7 @@ def route(identity: Column, ignore: tuple[str, ...] = (), parse_as_xml: tuple[st
     p = identity["protocol"]
     out = F.when(p.isin(*ignore), F.lit(None)) if ignore else F.when(F.lit(False), F.lit(None))
     for name, reader in ROUTES.items():
-        out = out.when(p == name, F.when(identity["name"] == "CSW", F.lit("csw")).otherwise(F.lit(reader)))
+        out = out.when(p == name, F.when((identity["name"] == "CSW") & (identity["kind"] == "resultset"), F.lit("csw")).otherwise(F.lit(reader)))
     if parse_as_xml:
         out = out.when(p.isin(*parse_as_xml), "xml")
     return out.cast("string")
@@ -41,4 +41,4 @@ def route(identity: Column, ignore: tuple[str, ...] = (), parse_as_xml: tuple[st
 
 def routed(rules: list[Rule]) -> list[str]:
     """Every reader that route() can give for what these rules identify."""
-    return list(dict.fromkeys("csw" if r.name == "CSW" else ROUTES[r.protocol] for r in rules if r.protocol in ROUTES))
+    return list(dict.fromkeys("csw" if r.name == "CSW" and r.kind == "resultset" else ROUTES[r.protocol] for r in rules if r.protocol in ROUTES))

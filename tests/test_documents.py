@@ -120,6 +120,93 @@ def test_csw_and_series(spark):
     assert found["datasets"].first().description == "A"
 
 
+DOC = "doc_id bigint, url string, harvest_date string, content string"
+WMS_CAPS = """<WMS_Capabilities xmlns="http://www.opengis.net/wms" xmlns:x="http://www.w3.org/1999/xlink" version="1.3.0"><Service><Title>T</Title><Abstract>A</Abstract><KeywordList><Keyword>k1</Keyword></KeywordList></Service>
+<Capability><Request><GetMap><Format>image/png</Format><DCPType><HTTP><Get><OnlineResource x:href="http://h.test/map?"/></Get></HTTP></DCPType></GetMap></Request>
+<Layer><Title>group</Title><Layer><Name>a</Name><Title>one</Title><EX_GeographicBoundingBox><westBoundLongitude>-1</westBoundLongitude><eastBoundLongitude>2</eastBoundLongitude><southBoundLatitude>-3</southBoundLatitude><northBoundLatitude>4</northBoundLatitude></EX_GeographicBoundingBox><MetadataURL><OnlineResource x:href="http://m.test/a.xml"/></MetadataURL></Layer></Layer></Capability></WMS_Capabilities>"""
+
+
+def test_ogc_layers_have_urls_and_records(spark):
+    docs = shred(spark.createDataFrame([(1, "http://h.test/ows?x=1", "2015", WMS_CAPS), (2, "http://h.test/ows", "2015", WMS_CAPS.replace("1.3.0", "9.9.9"))], DOC), "content")
+    found = readers.read_ogc(docs)
+    assert [(s.doc_id, s.service, s.title) for s in found["services"].collect()] == [(1, "WMS", "T")]
+    assert {s.doc_id for s in readers.read_ogc(docs, None)["services"].collect()} == {1, 2}
+    urls = {u.vcard_hasURL: u for u in found["urls"].where("doc_id = 1").collect()}
+    made = "http://h.test/ows?service=WMS&version=1.3.0&request=GetMap&layers=a&width=500&height=500&styles=&format=image%2Fpng&crs=CRS%3A84&bbox=-1.0%2C-3.0%2C2.0%2C4.0"
+    assert set(urls) == {"http://h.test/ows?x=1", made, "http://m.test/a.xml"}
+    assert (urls[made].hasUrlSource, urls[made].hasConfidence) == ("Generated", "Not Sure")
+    layer, record, service = found["layers"].first(), found["catalog_records"].first(), found["services"].first()
+    e = {(x.src_id, x.relate, x.dst_id) for x in found["edges"].collect()}
+    assert e == {
+        (service.object_id, "bcube:contains", layer.object_id), (service.object_id, "bcube:originatedFrom", urls["http://h.test/ows?x=1"].object_id), (service.object_id, "dc:conformsTo", found["keywords"].first().object_id),
+        (layer.object_id, "dcterms:references", urls[made].object_id), (record.object_id, "dc:describes", layer.object_id), (record.object_id, "bcube:originatedFrom", urls["http://m.test/a.xml"].object_id),
+    }
+    op = found["operations"].first()
+    assert (op.name, op.protocol, op.url, op.mimeType) == ("GetMap", "HTTP GET", "http://h.test/map?", ["image/png"])
+    assert [p.name for p in op.parameters] == ["service", "request", "version"]
+
+
+def test_capabilities_by_namespace(spark):
+    cap = '<c:Capabilities xmlns:c="{0}" xmlns:ows="o" version="{1}"><ows:ServiceIdentification><ows:Title>t</ows:Title>{2}</ows:ServiceIdentification><ows:OperationsMetadata><ows:Operation name="GetRecords"><ows:DCP><ows:HTTP><ows:Post href="http://p.test"/></ows:HTTP></ows:DCP><ows:Parameter name="resultType"><ows:Value>hits</ows:Value><ows:Value>results</ows:Value></ows:Parameter></ows:Operation></ows:OperationsMetadata></c:Capabilities>'
+    rows = [cap.format("http://www.opengis.net/cat/csw/2.0.2", "2.0.2", ""), cap.format("http://www.opengis.net/sos/1.0", "1.0.0", ""), cap.format("http://www.opengis.net/wcs/1.1.1", "1.1.1", ""), cap.format("urn:other", "2.0.2", "<ows:ServiceType>urn:x:CSW</ows:ServiceType>"), cap.format("urn:other", "1", "")]
+    docs = shred(spark.createDataFrame([(i, "http://h.test/", None, c) for i, c in enumerate(rows)], DOC), "content")
+    found = readers.read_ogc(docs)
+    assert {r.doc_id: r.service for r in found["services"].collect()} == {0: "CSW", 1: "SOS", 2: "WCS", 3: "CSW"}
+    op = found["operations"].where("doc_id = 0").first()
+    assert (op.name, op.protocol, op.url, [(p.name, list(p["values"])) for p in op.parameters]) == ("GetRecords", "HTTP POST", "http://p.test", [("resultType", ["hits", "results"])])
+
+
+def test_described_coverages(spark):
+    one = '<CoverageDescription xmlns="http://www.opengis.net/wcs" version="1.0.0"><CoverageOffering><name>c</name><label>l</label><description>d</description><lonLatEnvelope><pos>-1 -2</pos><pos>3 4</pos></lonLatEnvelope><domainSet><temporalDomain><timePosition>2001-01-01</timePosition><timePosition>2003-05-06</timePosition></temporalDomain></domainSet><supportedCRSs><requestResponseCRSs>EPSG:4326</requestResponseCRSs></supportedCRSs><supportedFormats><formats>GeoTIFF</formats></supportedFormats></CoverageOffering></CoverageDescription>'
+    two = '<CoverageDescriptions xmlns="http://www.opengis.net/wcs/1.1" xmlns:o="o"><CoverageDescription><o:Title>t</o:Title><Identifier>i</Identifier><Domain><SpatialDomain><o:BoundingBox><o:LowerCorner>0 1</o:LowerCorner><o:UpperCorner>2 3</o:UpperCorner></o:BoundingBox></SpatialDomain></Domain><SupportedFormat>a</SupportedFormat><SupportedFormat>b</SupportedFormat></CoverageDescription></CoverageDescriptions>'
+    docs = shred(spark.createDataFrame([(1, "u", None, one), (2, "u", None, two)], DOC), "content")
+    got = {r.doc_id: r for r in readers.read_ogc(docs)["coverages"].collect()}
+    assert (got[1].name, got[1].title, got[1].description, got[1].west, got[1].north, got[1].formats, got[1].crs) == ("c", "l", "d", -1.0, 4.0, ["GeoTIFF"], ["EPSG:4326"])
+    assert (str(got[1].startDate), str(got[1].endDate)) == ("2001-01-01 00:00:00", "2003-05-06 00:00:00")
+    assert (got[2].name, got[2].title, got[2].spatial_wkt, got[2].formats) == ("i", "t", "POLYGON ((0.0 1.0,0.0 3.0,2.0 3.0,2.0 1.0,0.0 1.0))", ["a", "b"])
+
+
+def test_csw_with_fgdc_records(spark):
+    body = '<csw:GetRecordsResponse xmlns:csw="c"><csw:SearchResults numberOfRecordsMatched="2" numberOfRecordsReturned="2" recordSchema="s">' + FGDC + FGDC.replace("<title>T<", "<title>U<") + "</csw:SearchResults></csw:GetRecordsResponse>"
+    found = readers.read_csw(shred(spark.createDataFrame([(1, "http://h.test/", None, body)], DOC), "content"))
+    ds = found["datasets"].collect()
+    assert sorted(d.title for d in ds) == ["T", "U"] and len({d.object_id for d in ds}) == 2
+    assert found["keywords"].count() == 4 and {x.src_id for x in found["edges"].where("relate = 'dcterms:publisher'").collect()} == {d.object_id for d in ds}
+
+
+def test_series_and_its_records(spark):
+    rec = lambda t: f"<MD_Metadata><identificationInfo><MD_DataIdentification><abstract><CharacterString>{t}</CharacterString></abstract></MD_DataIdentification></identificationInfo></MD_Metadata>"
+    body = f"<DS_Series><composedOf><DS_DataSet><has>{rec('a')}</has></DS_DataSet></composedOf><composedOf><DS_DataSet><has>{rec('b')}</has></DS_DataSet></composedOf><seriesMetadata>{rec('s')}</seriesMetadata></DS_Series>"
+    found = readers.read_iso(shred(spark.createDataFrame([(1, "http://h.test/", None, body)], DOC), "content"))
+    ids = {d.description: d.object_id for d in found["datasets"].collect()}
+    s = found["series"].first()
+    assert (s.object_id, s.children) == (ids["s"], [ids["a"], ids["b"]])
+    assert {x.dst_id for x in found["edges"].where("relate = 'bcube:contains'").collect()} == {ids["a"], ids["b"]}
+
+
+def test_thredds_attributes(spark):
+    body = '<catalog><service name="A" serviceType="OPENDAP" base="/a/"/><dataset name="d" urlPath="x.nc"><dataSize units="Mb">7</dataSize><access serviceName="A" urlPath="y.nc"/><dataset name="in"/></dataset></catalog>'
+    e = {r.name: r for r in readers.read_thredds(shred(spark.createDataFrame([(1, "http://h.test/catalog.xml", None, body)], DOC), "content"))["endpoints"].collect()}
+    assert e["d"].attributes == {"name": "d", "url": "x.nc", "dataSize": "7", "dataSize_units": "Mb", "access_serviceName": "A", "access_url": "y.nc"}
+    assert (e["d"].parentOf, e["in"].childOf, e["in"].attributes) == (["in"], "d", {"name": "in"})
+
+
+def test_readers_take_time_in_proportion_to_the_document(spark):
+    import time
+
+    def took(n: int) -> float:
+        body = '<catalog><service name="A" base="/a/"/><dataset name="top">' + "".join(f'<dataset name="d{i}" ID="k{i}" urlPath="{i}.nc"><dataSize units="Mb">{i}</dataSize></dataset>' for i in range(n)) + "</dataset></catalog>"
+        docs = shred(spark.createDataFrame([(1, "http://h.test/catalog.xml", None, body)], DOC), "content", ["doc_id", "url", "harvest_date"]).cache()
+        docs.count()
+        began = time.perf_counter()
+        assert readers.read_thredds(docs)["endpoints"].where("childOf = 'top' AND attributes['dataSize'] IS NOT NULL").count() == n
+        return time.perf_counter() - began
+
+    took(100)
+    small, large = took(1_000), took(10_000)
+    assert large < 25 * max(small, 0.5), (small, large)
+
+
 def test_identifiers_in_nested_urls(spark):
     """Redirects of redirects, escaped once more at each level, down to the identifier."""
     from urllib.parse import quote
