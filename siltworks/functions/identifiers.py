@@ -13,6 +13,7 @@ from .url import base_url, param_pairs, unquote
 # identifier by itself, what ends a token, and texts that never are identifiers.
 DOI_URL = r"""(?i)https?://(?:dx\.)?doi\.org/10[.][0-9]{4,}(?:[/][0-9]+)*/(?:(?!["&'])\S)+"""
 URN = r"""(?i)^[a-z0-9.#]{0,}:[a-z0-9][a-z0-9.-]{0,31}:[a-z0-9_()+,\-.:=@;$!*'%/?#\[\]]+"""
+URN_ALONE = r"""(?i)^[a-z0-9]{0,}:[a-z0-9][a-z0-9\-]{0,31}:[a-z0-9()+,\-.:=@;$_!*'%/?#\[\]]+"""
 UUID = r"(?i)[a-f\d]{8}(?:-[a-f\d]{4}){3}-[a-f\d]{12}"
 DOI = r"""(?i)(?:doi:)?10[.][0-9]{4,}(?:[/][0-9]+)*/(?:(?!["&'])\S)+"""
 MD5 = r"(?i)\b[a-f0-9]{32}\b"
@@ -62,7 +63,7 @@ def is_url(c: Column) -> Column:
     scheme = c.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:/")
     legal = ~c.rlike(r"[\s<>\"{}|\\^`]")
     host = c.rlike(rf"(?i)https?:/{{1,3}}[^\s/]|//(?:[^/@\s]*@)?[a-z0-9.\-]+[.](?:{GENERIC_TLDS}|[a-z]{{2}})(?:[:/?#]|$)")
-    return F.coalesce(~F.contains(c, F.lit("mailto:")) & ~c.rlike(r"(?i)^[a-z0-9]{0,}:[a-z0-9][a-z0-9\-]{0,31}:[a-z0-9()+,\-.:=@;$_!*'%/?#\[\]]+") & scheme & legal & host, F.lit(False))
+    return F.coalesce(~F.contains(c, F.lit("mailto:")) & ~c.rlike(URN_ALONE) & scheme & legal & host, F.lit(False))
 
 
 def url_kind(c: Column) -> Column:

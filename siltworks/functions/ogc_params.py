@@ -5,22 +5,54 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Parameters by service with version and request; name:type:format.
-COMMON = ("service:string:", "request:string:", "version:string:")
-BBOX = "bbox:string:minx,miny,maxx,maxy"
-DEFAULTS: dict[str, dict[str, tuple[str, ...]]] = {
+# Parameters as (name, type, format), by service with version and by request.
+COMMON = (
+    ("service", "string", ""),
+    ("request", "string", ""),
+    ("version", "string", ""),
+)
+DEFAULTS: dict[str, dict[str, tuple[tuple[str, str, str], ...]]] = {
     "WMS111": {
         "GETCAPABILITIES": (),
-        "GETMAP": ("format:string:", "layers:string:comma-delimited string", BBOX, "height:int:", "width:int:", "styles:string:", "srs:string:", "transparent:string:", "bgcolor:hexadecimal:", "elevation:string:", "time:string:"),
-        "GETFEATUREINFO": ("info_format:string:", "feature_count:int:"),
+        "GETMAP": (
+            ("format", "string", ""),
+            ("layers", "string", "comma-delimited string"),
+            ("bbox", "string", "minx,miny,maxx,maxy"),
+            ("height", "int", ""),
+            ("width", "int", ""),
+            ("styles", "string", ""),
+            ("srs", "string", ""),
+            ("transparent", "string", ""),
+            ("bgcolor", "hexadecimal", ""),
+            ("elevation", "string", ""),
+            ("time", "string", ""),
+        ),
+        "GETFEATUREINFO": (
+            ("info_format", "string", ""),
+            ("feature_count", "int", ""),
+        ),
     },
     "WMS130": {},
     "WFS100": {
         "GETCAPABILITIES": (),
-        "DESCRIBEFEATURETYPE": ("typename:string:", "format:string:"),
-        "GETFEATURE": ("typename:string:", "format:string:", BBOX, "propertyname:string:", "featureversion:string:", "featureid:string:", "filter:string:", "maxfeatures:int:"),
+        "DESCRIBEFEATURETYPE": (
+            ("typename", "string", ""),
+            ("format", "string", ""),
+        ),
+        "GETFEATURE": (
+            ("typename", "string", ""),
+            ("format", "string", ""),
+            ("bbox", "string", "minx,miny,maxx,maxy"),
+            ("propertyname", "string", ""),
+            ("featureversion", "string", ""),
+            ("featureid", "string", ""),
+            ("filter", "string", ""),
+            ("maxfeatures", "int", ""),
+        ),
+    },
+    "WFS110": {
+        "GETCAPABILITIES": (),
     },
-    "WFS110": {"GETCAPABILITIES": ()},
     "WCS100": {},
 }
 
@@ -30,7 +62,7 @@ def default_params(service: Column, version: Column, request: Column) -> Column:
     key = F.concat(F.upper(service), F.replace(version, F.lit("."), F.lit("")), F.lit("/"), F.upper(request))
 
     def of(specs) -> Column:
-        return F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(("name", "type", "format"), s.split(":", 2))]) for s in specs])
+        return F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(("name", "type", "format"), s)]) for s in specs])
 
     out = F.when(F.lit(False), of(COMMON))
     for s, methods in DEFAULTS.items():

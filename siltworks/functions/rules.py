@@ -84,7 +84,8 @@ class Rule:
     order: int = field(default=0, compare=False)
 
 
-#: columns that predicates read: content, url, xml (well-formed content or null), root
+#: columns that predicates read: content, url, xml (well-formed content or null), root;
+#: upper_content and upper_url where they are at hand, so that they are not made anew in every condition
 COLUMNS = {"content": "content", "url": "url", "xml": "xml", "root": "root"}
 _ROOT_TEST = re.compile(r"""^/\*\[\s*local-name\(\)\s*=\s*["']([^"']+)["']\s*\]$""")
 ROOT_PATTERN = r"(?s)^\s*(?:<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>\[]*(?:\[.*?\])?\s*>|\s)*<(?:[\w.\-]+:)?([\w.\-]+)"
@@ -98,7 +99,8 @@ def root_name(content_: Column) -> Column:
 def compile_predicate(p, cols: dict[str, str] = COLUMNS) -> Column:
     """A predicate as a boolean that is never null."""
     if isinstance(p, Contains):
-        return F.coalesce(F.contains(F.upper(F.col(cols[p.of])), F.lit(p.value.upper())), F.lit(False))
+        upper = F.col(cols[f"upper_{p.of}"]) if f"upper_{p.of}" in cols else F.upper(F.col(cols[p.of]))
+        return F.coalesce(F.contains(upper, F.lit(p.value.upper())), F.lit(False))
     if isinstance(p, Matches):
         return F.coalesce(F.col(cols[p.of]).rlike(p.pattern), F.lit(False))
     if isinstance(p, XPath):

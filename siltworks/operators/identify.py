@@ -20,8 +20,9 @@ def identify(docs: DataFrame, rules: list[Rule] = STANDARD, content: str = "cont
     not rows, so nothing is joined.
     """
     named = docs.withColumn("_content", F.col(content)).withColumn("_url", F.col(url)).withColumn("_xml", parseable(F.col(content))).withColumn("_root", root_name(F.col(content)))
-    cols = {"content": "_content", "url": "_url", "xml": "_xml", "root": "_root"}
-    return named.withColumn("identities", compile_match(rules, cols)).drop("_content", "_url", "_xml", "_root")
+    cols = {"content": "_content", "url": "_url", "xml": "_xml", "root": "_root", "upper_content": "_upper", "upper_url": "_upper_url"}
+    named = named.withColumn("_upper", F.upper("_content")).withColumn("_upper_url", F.upper("_url"))
+    return named.withColumn("identities", compile_match(rules, cols)).drop(*cols.values())
 
 
 def first_identity(identities: Column) -> Column:

@@ -237,10 +237,17 @@ def split_words(spark, sf):
     return _urls(spark, sf).where("u IS NOT NULL").select("url_id", F.size(w).cast("bigint").alias("n"), F.element_at(w, -1).alias("last"))
 
 
-@query(rf"SELECT doc_id, array_to_string(list_filter(regexp_split_to_array(trim(text, ' '), '[ \t\n\x0B\f\r]+'), lambda w: w <> '' AND NOT list_contains({T.STOPWORDS['en']}, w)), ' ') AS text FROM documents WHERE text IS NOT NULL AND lang = 'en'")
+_STOPS = "CASE lang " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in T.STOPWORDS.items() if k != "en") + f" ELSE {T.STOPWORDS['en']} END"
+
+
+@query(rf"SELECT doc_id, array_to_string(list_filter(regexp_split_to_array(trim(text, ' '), '[ \t\n\x0B\f\r]+'), lambda w: w <> '' AND NOT list_contains({_STOPS}, w)), ' ') AS text FROM documents WHERE text IS NOT NULL")
 def remove_stopwords(spark, sf):
-    d = table(spark, sf, "documents", ["doc_id", "text", "lang"]).where("text IS NOT NULL AND lang = 'en'")
-    return d.select("doc_id", T.remove_stopwords(c("text")).alias("text"))
+    """Every document without the stopwords of its language; of those without language, the English ones."""
+    d = table(spark, sf, "documents", ["doc_id", "text", "lang"]).where("text IS NOT NULL")
+    out = T.remove_stopwords(c("text"))
+    for k in T.STOPWORDS:
+        out = F.when(c("lang") == k, T.remove_stopwords(c("text"), k)).otherwise(out)
+    return d.select("doc_id", out.alias("text"))
 
 
 @query("SELECT l_orderkey, l_linenumber, 'ship ' || l_returnflag || l_linestatus || l_partkey || ' of' AS text FROM lineitem")
@@ -250,20 +257,28 @@ def remove_numeric(spark, sf):
     return li.select("l_orderkey", "l_linenumber", T.remove_numeric(t).alias("text"))
 
 
-@query(r"""SELECT lower(w) AS word, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z]+')) w FROM documents) GROUP BY ALL""")
+_TOKENS = r"regexp_extract_all(text, '[\p{L}\p{N}]+(?:[-''’_.][\p{L}\p{N}]+)*|[^ \t\n\x0B\f\r\p{L}\p{N}]')"
+
+
+@query(rf"SELECT w AS word, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest({_TOKENS}) w FROM documents) WHERE regexp_matches(w, '[\p{{L}}\p{{N}}]') GROUP BY w")
 def bag_of_words(spark, sf):
     """Words of the whole corpus with their counts."""
     d = table(spark, sf, "documents", ["text"])
-    return d.select(F.explode(F.regexp_extract_all("text", lit("[A-Za-z]+"), 0)).alias("w")).groupBy(F.lower("w").alias("word")).agg(F.count(lit(1)).alias("n"))
+    return d.select(F.explode(T.words(c("text"), resplit=False)).alias("word")).groupBy("word").agg(F.count(lit(1)).alias("n"))
 
 
-@query("SELECT o_orderkey, ['image/png', 'text/xml'] AS found, 'serves  and  now' AS text FROM orders")
+@query(f"SELECT doc_id, list_filter({list(T.MIMETYPES)}, lambda m: contains(text, m)) AS found, regexp_replace(text, '{'|'.join(m.replace('+', '[+]').replace('.', '[.]') for m in sorted(T.MIMETYPES, key=lambda m: (-len(m), m)))}', '', 'g') AS text FROM documents WHERE text IS NOT NULL")
 def extract_mimetypes(spark, sf):
-    m = T.extract_mimetypes(F.when(c("o_orderkey") >= 0, "serves image/png and text/xml now"))
-    return table(spark, sf, "orders", ["o_orderkey"]).select("o_orderkey", m["found"].alias("found"), m["text"].alias("text"))
+    m = T.extract_mimetypes(c("text"))
+    return table(spark, sf, "documents", ["doc_id", "text"]).where("text IS NOT NULL").select("doc_id", m["found"].alias("found"), m["text"].alias("text"))
 
 
-@query()
+_VOTES = ", ".join(f"{{'n': len(list_filter(ws, lambda w: list_contains({v}, w))), 'lang': '{k}'}}" for k, v in sorted(T.STOPWORDS.items()))
+
+
+@query(rf"""WITH t AS (SELECT lang, [lower(w) FOR w IN {_TOKENS} IF regexp_full_match(w, '\p{{L}}+')] ws FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL),
+best AS (SELECT lang, list_max([{_VOTES}]) b FROM t)
+SELECT lang, CASE WHEN b.n > 0 THEN b.lang END AS guess, CAST(count(*) AS BIGINT) AS n FROM best GROUP BY ALL""")
 def language_guess(spark, sf):
     """The language of each document by its stopwords, against the given one."""
     d = table(spark, sf, "documents", ["doc_id", "text", "lang"]).where("text IS NOT NULL AND lang IS NOT NULL")
@@ -291,7 +306,7 @@ def bag_of_descriptions(spark, sf):
     return d.select("desc_id", T.collapse_to_bag(J.flatten_json(c("body"), ("urls", "vcard:hasURL"))).alias("bag"))
 
 
-@query("SELECT p_partkey, [upper(p_brand), '#'] AS terms FROM part".replace("upper(p_brand)", "'Z' || p_size").replace("[", "list_filter([").replace("'#']", "'x'], lambda t: t <> 'x')"))
+@query("SELECT p_partkey, ['Z' || p_size] AS terms FROM part")
 def pos_terms(spark, sf):
     """Tokens tagged by the built-in tagger, only the names."""
     p = table(spark, sf, "part", ["p_partkey", "p_size"])
@@ -314,10 +329,11 @@ def dataset_wkt(spark, sf):
     return d.select("dataset_id", G.bbox_wkt(c("esip_westbound"), c("esip_southbound"), c("esip_eastbound"), c("esip_northbound")).alias("wkt"))
 
 
-@query("SELECT r_regionkey, ['EPSG:3857', 'EPSG:26913', 'EPSG:4326', '', 'EPSG:4326'][r_regionkey + 1] AS epsg FROM region")
+@query("SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'epsg:' || c_custkey WHEN 1 THEN 'EPSG:' || c_custkey WHEN 2 THEN 'EPSG:4326' WHEN 3 THEN '' ELSE 'EPSG:4326' END AS epsg FROM customer")
 def epsg_alias(spark, sf):
-    names = F.array(*map(lit, ("EPSG:3857", "urn:ogc:def:crs:EPSG::26913", "CRS:84", "CRS:27", "urn:ogc:def:crs:OGC:1.3:CRS84")))
-    return table(spark, sf, "region", ["r_regionkey"]).select("r_regionkey", G.epsg(F.element_at(names, c("r_regionkey") + 1)).alias("epsg"))
+    k = c("c_custkey").cast("string")
+    named = F.when(c("c_custkey") % 5 == 0, F.concat(lit("epsg:"), k)).when(c("c_custkey") % 5 == 1, F.concat(lit("urn:ogc:def:crs:EPSG:6.9:"), k)).when(c("c_custkey") % 5 == 2, "CRS:84").when(c("c_custkey") % 5 == 3, F.concat(lit("SRID "), k)).otherwise("urn:ogc:def:crs:OGC:1.3:CRS84")
+    return table(spark, sf, "customer", ["c_custkey"]).select("c_custkey", G.epsg(named).alias("epsg"))
 
 
 @query("SELECT s_suppkey, 'POLYGON ((0 0,' || s_suppkey || ' 0,' || s_suppkey || ' ' || s_nationkey || ',0 0))' AS wkt FROM supplier")
@@ -392,6 +408,59 @@ def route_documents(spark, sf):
     return _identified(spark, sf).select("record_id", route(first_identity(c("identities")), ignore=("ATOM",), parse_as_xml=("Any",)).alias("reader"))
 
 
+#: a small response of each standard: content, url, protocol and name that the catalogue of rules must give first
+_GETCAP = "http://h.test/ows?request=GetCapabilities"
+_GMD = "http://www.isotc211.org/2005/gmd"
+STANDARD_SAMPLES = [
+    ('<WMS_Capabilities xmlns="http://www.opengis.net/wms" version="1.3.0"/>', _GETCAP, "OGC", "WMS"),
+    ('<WCS_Capabilities xmlns="http://www.opengis.net/wcs" version="1.0.0"/>', _GETCAP, "OGC", "WCS"),
+    ('<WFS_Capabilities xmlns="http://www.opengis.net/wfs" version="1.1.0"/>', _GETCAP, "OGC", "WFS"),
+    ('<Capabilities xmlns="http://www.opengis.net/sos/1.0"><GetCapabilities></GetCapabilities></Capabilities>', "", "OGC", "SOS"),
+    ('<csw:Capabilities xmlns:csw="http://www.opengis.net/cat/csw/2.0.2"/>', _GETCAP, "OGC", "CSW"),
+    ('<Capabilities xmlns="http://www.opengis.net/wmts/1.0"/>', _GETCAP, "OGC", "WMTS"),
+    ('<CoverageDescription xmlns="http://www.opengis.net/wcs"/>', "", "OGC", "WCS"),
+    ('<csw:GetRecordsResponse xmlns:csw="http://www.opengis.net/cat/csw/2.0.2"/>', "", "OGC", "CSW"),
+    (f'<gmd:MD_Metadata xmlns:gmd="{_GMD}"/>', "", "ISO", "19115"),
+    (f'<DS_Series xmlns="{_GMD}"/>', "", "ISO", "Data Series"),
+    ('<srv:SV_ServiceIdentification xmlns:srv="http://www.isotc211.org/2005/srv"/>', "", "ISO", "19119"),
+    ("<metadata><metainfo><metstdv>FGDC-STD-001-1998</metstdv></metainfo></metadata>", "", "FGDC", "FGDC"),
+    ('<DIF xmlns="http://gcmd.gsfc.nasa.gov/Aboutus/xml/dif/"><Entry_ID>1</Entry_ID></DIF>', "", "DIF", "DIF"),
+    ('<oai_dc:dc xmlns:oai_dc="http://www.openarchives.org/OAI/2.0/oai_dc/"/>', "", "DC", "DublinCore"),
+    ('<OAI-PMH xmlns="http://www.openarchives.org/OAI/2.0/"><Identify></Identify></OAI-PMH>', "", "OAI-PMH", "Identify"),
+    ("<OAI-PMH><ListRecords></ListRecords></OAI-PMH>", "", "OAI-PMH", "OAI-PMH"),
+    ("<OAI-PMH/>", "http://h.test/oai?verb=GetRecord", "OAI-PMH", "OAI-PMH"),
+    ('<OpenSearchDescription xmlns="http://a9.com/-/spec/opensearch/1.1/"/>', "", "OpenSearch", "OpenSearchDescription"),
+    ('<feed xmlns="http://www.w3.org/2005/Atom" xmlns:o="http://a9.com/-/spec/opensearch/1.1/"><o:itemsPerPage>1</o:itemsPerPage></feed>', "", "OpenSearch", "OpenSearch"),
+    ('<catalog xmlns="http://www.unidata.ucar.edu/namespaces/thredds/InvCatalog/v1.0"/>', "", "UNIDATA", "THREDDS-Catalog"),
+    ('<netcdf xmlns="http://www.unidata.ucar.edu/namespaces/netcdf/ncml-2.2" xmlns:d="http://xml.opendap.org/ns/DAP/3.2"/>', "", "OPeNDAP", "NCML"),
+    ('<Dataset xmlns="http://xml.opendap.org/ns/DAP/3.2"/>', "", "OPeNDAP", "DDX"),
+    ('<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:dcat="d"><dcat:Dataset rdf:about="x"/></rdf:RDF>', "", "RDF", "RDF"),
+    ('<rss version="2.0"/>', "", "RSS", "RSS"),
+    ('<feed xmlns="http://www.w3.org/2005/Atom"/>', "", "ATOM", "ATOM"),
+    ('<application xmlns="http://wadl.dev.java.net/2009/02"/>', "", "WADL", "WADL"),
+    ('<definitions xmlns="http://schemas.xmlsoap.org/wsdl/"/>', "", "WSDL", "WSDL"),
+    ('<kml xmlns="http://earth.google.com/kml/2.2"/>', "", "KML", "KML"),
+    ('<codeBook xmlns="http://www.ddialliance.org/Specification/DDI-Codebook/2.1/"/>', "", "DDI", "DDI"),
+    ('<resource xmlns="http://datacite.org/schema/kernel-3"/>', "", "DataCite", "DataCite"),
+    ('<eml xmlns="eml://ecoinformatics.org/eml-2.1.0"/>', "", "EML", "EML"),
+    ('<q xmlns="http://quakeml.org/xmlns/bed/1.2"/>', "", "QuakeML", "QuakeML"),
+    ('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"/>', "", "Sitemap", "Sitemap"),
+    ('<e:Envelope xmlns:e="http://schemas.xmlsoap.org/soap/envelope/"/>', "", "SOAP", "SOAP"),
+    ("<html/>", "https://zenodo.org/record/1", "Zenodo", "Zenodo"),
+    ('<HDF5-File xmlns:hdf5="http://hdfgroup.org/DTDs/HDF5-File"/>', "", "HDF-XML", "HDF-XML"),
+    ("<other/>", "http://h.test/", None, None),
+    ("plain text", "", None, None),
+]
+
+
+@query("SELECT p_partkey, s[1] AS protocol, s[2] AS name FROM (SELECT p_partkey, [" + ", ".join("[NULL, NULL]" if p is None else f"['{p}', '{n}']" for *_, p, n in STANDARD_SAMPLES) + f"][p_partkey % {len(STANDARD_SAMPLES)} + 1] s FROM part)")
+def identify_standards(spark, sf):
+    """The whole catalogue of rules over a response of every kind."""
+    sample = F.get(F.array(*[F.struct(lit(x).alias("content"), lit(u).alias("url")) for x, u, *_ in STANDARD_SAMPLES]), (c("p_partkey") % len(STANDARD_SAMPLES)).cast("int"))
+    docs = table(spark, sf, "part", ["p_partkey"]).withColumn("s", sample).select("p_partkey", "s.*")
+    return identify(docs).select("p_partkey", first_identity(c("identities")).alias("i")).select("p_partkey", c("i.protocol").alias("protocol"), c("i.name").alias("name"))
+
+
 @query("SELECT doc_id, contains(upper(text), 'WMS') AND (contains(upper(text), 'LAYERS') OR contains(upper(url), '/DOC/1')) AS hit FROM documents")
 def rule_simple_match(spark, sf):
     d = table(spark, sf, "documents", ["doc_id", "text", "url"])
@@ -568,12 +637,15 @@ def cool_uri(spark, sf):
     return _urls(spark, sf).select("url_id", I.is_cool_uri(U.path_of(c("u"))).alias("is_path"))
 
 
-@query("SELECT l_orderkey, CAST(l_partkey % 50 AS VARCHAR) AS value, CAST(min(l_linenumber) AS BIGINT) AS first_at FROM lineitem GROUP BY l_orderkey, l_partkey % 50")
+@query("SELECT l_orderkey, md5(CAST(l_partkey % 50 AS VARCHAR)) AS value, 'Order/l' || min(l_linenumber) AS tag FROM lineitem GROUP BY l_orderkey, l_partkey % 50")
 def ids_dedup_first(spark, sf):
     """Of equal values in a document the first counts."""
-    li = table(spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber"]).withColumn("value", (c("l_partkey") % 50).cast("string"))
-    w = Window.partitionBy("l_orderkey", "value").orderBy("l_linenumber")
-    return li.withColumn("r", F.row_number().over(w)).where("r = 1").select("l_orderkey", "value", c("l_linenumber").cast("bigint").alias("first_at"))
+    li = table(spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber"])
+    tag = F.concat(lit("l"), c("l_linenumber").cast("string"))
+    item = F.concat(lit("<"), tag, lit(">"), F.md5((c("l_partkey") % 50).cast("string")), lit("</"), tag, lit(">"))
+    g = li.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", item.alias("x")))), lambda s: s["x"]), "").alias("x"))
+    docs = _written(g, "l_orderkey", _xml("<Order>", c("x"), "</Order>"), lit(None).cast("string"))
+    return extract_identifiers(docs, "doc_id").select(c("doc_id").alias("l_orderkey"), c("potential_identifier").alias("value"), "tag")
 
 
 # --- readers ---------------------------------------------------------------------------------------------
@@ -683,6 +755,65 @@ def service_base_lookup(spark, sf):
     return e.select("doc_id", "urls")
 
 
+def _fgdc_docs(spark, sf):
+    """A record for each part, with a publisher, links and keywords."""
+    k = c("p_partkey").cast("string")
+    doc = _xml(
+        "<metadata><idinfo><citation><citeinfo><title>", c("p_name"), "</title><onlink>http://p.test/", k, "</onlink><pubinfo><publish>", c("p_brand"), "</publish><pubplace>", c("p_name"), "</pubplace></pubinfo></citeinfo></citation><keywords><theme><themekt>", c("p_brand"), "</themekt><themekey>", c("p_type"),
+        "</themekey><themekey>x</themekey></theme><place><placekt>none</placekt></place></keywords></idinfo><distinfo><stdorder><digform><digtopt><onlinopt><computer><networka><networkr>http://d.test/", k, "</networkr></networka></computer></onlinopt></digtopt></digform></stdorder></distinfo></metadata>",
+    )
+    return _written(table(spark, sf, "part"), "p_partkey", doc)
+
+
+@query("SELECT p_partkey AS doc_id, p_brand AS set_of, 'theme' AS kind, [p_type, 'x'] AS words FROM part")
+def reader_fgdc_keywords(spark, sf):
+    return readers.read_fgdc(_fgdc_docs(spark, sf))["keywords"].select("doc_id", c("partOf").alias("set_of"), c("hasType").alias("kind"), c("hasValue").alias("words"))
+
+
+@query("SELECT p_partkey AS doc_id, p_brand AS name, p_name AS location FROM part")
+def reader_fgdc_publishers(spark, sf):
+    return readers.read_fgdc(_fgdc_docs(spark, sf))["publishers"].select("doc_id", "name", "location")
+
+
+@query("SELECT p_partkey AS doc_id, unnest(['bcube:originatedFrom', 'bcube:hasMetadataRecord', 'dcterms:publisher', 'dcterms:references', 'dcterms:references', 'dc:conformsTo', 'foaf:primaryTopic']) AS relate, unnest(['urls', 'catalog_records', 'publishers', 'urls', 'webpages', 'keywords', 'datasets']) AS target FROM part")
+def reader_fgdc_edges(spark, sf):
+    """The edges of each record with the table in which their target is found."""
+    found = readers.read_fgdc(_fgdc_docs(spark, sf))
+    targets = None
+    for k in ("datasets", "catalog_records", "publishers", "urls", "webpages", "keywords"):
+        t = found[k].select(c("object_id").alias("dst_id"), lit(k).alias("target"))
+        targets = t if targets is None else targets.unionAll(t)
+    return found["edges"].join(targets, "dst_id").select("doc_id", "relate", "target")
+
+
+@query("SELECT c_custkey AS doc_id, 'T' || k AS title FROM customer, (VALUES (1), (2)) v(k)")
+def reader_csw_records(spark, sf):
+    """Search results that hold records of another standard."""
+    doc = _xml('<GetRecordsResponse><SearchResults numberOfRecordsMatched="2">', *[_xml(f"<metadata><idinfo><citation><citeinfo><title>T{k}</title></citeinfo></citation></idinfo></metadata>") for k in (1, 2)], "</SearchResults></GetRecordsResponse>")
+    return readers.read_csw(_written(table(spark, sf, "customer", ["c_custkey"]), "c_custkey", doc))["datasets"].select("doc_id", "title")
+
+
+@query("SELECT o_orderkey AS doc_id, 'oai:' || o_orderkey AS identifier, o_orderpriority AS title FROM orders")
+def reader_oai_records(spark, sf):
+    doc = _xml("<OAI-PMH><ListRecords><record><header><identifier>oai:", c("o_orderkey").cast("string"), "</identifier></header><metadata><dc><title>", c("o_orderpriority"), "</title></dc></metadata></record></ListRecords></OAI-PMH>")
+    return readers.read_oaipmh(_written(table(spark, sf, "orders", ["o_orderkey", "o_orderpriority"]), "o_orderkey", doc))["items"].select("doc_id", "identifier", "title")
+
+
+@query("SELECT s_suppkey AS doc_id, 'GetMap' AS name, 'HTTP GET' AS protocol, 'http://h.test/' || s_suppkey AS url, ['text/xml', 'image/png'] AS formats, ['service', 'request', 'version', 'format', 'layers', 'bbox', 'height', 'width', 'styles', 'srs', 'transparent', 'bgcolor', 'elevation', 'time'] AS parameters FROM supplier")
+def reader_ogc_operations(spark, sf):
+    doc = _xml('<WMT_MS_Capabilities version="1.1.1"><Service><Title>t</Title></Service><Capability><Request><GetMap><Format>XMLSCHEMA</Format><Format>image/png</Format><DCPType><HTTP><Get><OnlineResource href="http://h.test/', c("s_suppkey").cast("string"), '"/></Get></HTTP></DCPType></GetMap></Request></Capability></WMT_MS_Capabilities>')
+    ops = readers.read_ogc(_written(table(spark, sf, "supplier", ["s_suppkey"]), "s_suppkey", doc))["operations"]
+    return ops.select("doc_id", "name", "protocol", "url", c("mimeType").alias("formats"), F.transform("parameters", lambda p: p["name"]).alias("parameters"))
+
+
+@query("SELECT s_suppkey AS doc_id, 'http://x.test/' || s_suppkey AS url, 'Harvested' AS source FROM supplier UNION ALL SELECT s_suppkey, 'http://x.test/' || s_suppkey || '?service=WFS&version=1.1.0&request=GetFeature&featureid=f' || s_nationkey || '&typenames=namespace%3Afeaturetype', 'Generated' FROM supplier")
+def reader_ogc_urls(spark, sf):
+    """The harvested URL and the request that is made for a feature type."""
+    doc = _xml('<WFS_Capabilities version="1.1.0"><FeatureTypeList><FeatureType><Name>f', c("s_nationkey").cast("string"), "</Name></FeatureType></FeatureTypeList></WFS_Capabilities>")
+    urls = readers.read_ogc(_written(table(spark, sf, "supplier", ["s_suppkey", "s_nationkey"]), "s_suppkey", doc))["urls"]
+    return urls.select("doc_id", c("vcard_hasURL").alias("url"), c("hasUrlSource").alias("source"))
+
+
 @query("SELECT n_nationkey, 'FORMAT' AS name, CASE WHEN n_regionkey % 2 = 0 THEN n_name ELSE 'text/xml' END AS format FROM nation UNION ALL SELECT n_nationkey, 'VERSION', '1.0' FROM nation")
 def param_merge_left(spark, sf):
     """Default parameters overridden by those found, whatever their case."""
@@ -692,12 +823,14 @@ def param_merge_left(spark, sf):
     return table(spark, sf, "nation").select("n_nationkey", F.inline(merged)).select("n_nationkey", "name", "format")
 
 
-@query("SELECT n_nationkey, unnest(['service', 'request', 'version', 'info_format', 'feature_count']) AS name, unnest(['string', 'string', 'string', 'string', 'int']) AS type FROM nation")
+@query("""SELECT n_nationkey, unnest(p[1]) AS name, unnest(p[2]) AS type FROM (SELECT n_nationkey, CASE n_nationkey % 4
+ WHEN 0 THEN [['service', 'request', 'version', 'info_format', 'feature_count'], ['string', 'string', 'string', 'string', 'int']] WHEN 1 THEN [['service', 'request', 'version', 'typename', 'format'], ['string', 'string', 'string', 'string', 'string']]
+ WHEN 2 THEN [['service', 'request', 'version'], ['string', 'string', 'string']] END p FROM nation) WHERE p IS NOT NULL""")
 def param_defaults(spark, sf):
-    """The parameters that a service's request takes by default."""
-    n = table(spark, sf, "nation", ["n_nationkey"])
-    v = F.concat(lit("1.1."), F.when(c("n_nationkey") >= 0, "1"))
-    return n.select("n_nationkey", F.inline(O.default_params(lit("wms"), v, lit("GetFeatureInfo")))).select("n_nationkey", "name", "type")
+    """The parameters that a service's request takes by default; none for unknown services."""
+    asked = F.array(*[F.struct(*map(lit, x)) for x in (("wms", "1.1.1", "GetFeatureInfo"), ("WFS", "1.0.0", "DescribeFeatureType"), ("wcs", "1.0.0", "GetCoverage"), ("wps", "1.0.0", "Execute"))])
+    n = table(spark, sf, "nation", ["n_nationkey"]).withColumn("a", F.get(asked, (c("n_nationkey") % 4).cast("int")))
+    return n.select("n_nationkey", F.inline(O.default_params(c("a.col1"), c("a.col2"), c("a.col3")))).select("n_nationkey", "name", "type")
 
 
 # --- graph -----------------------------------------------------------------------------------------------
@@ -739,11 +872,12 @@ def harvest_graph(spark, sf):
     return out.groupBy("p", "o_kind").agg(F.count(lit(1)).alias("n"))
 
 
-@query("SELECT DISTINCT url_id, vcard_hasurl AS url, bcube_hasurlsource AS source, bcube_hasconfidence AS confidence, CAST(http_statuscode AS INT) AS status FROM url_entities WHERE vcard_hasurl <> ''")
+@query("SELECT DISTINCT url_id, vcard_hasurl AS url, 'Harvested' AS source, 'Good' AS confidence, 200 AS status, 'OK' AS reason FROM url_entities WHERE vcard_hasurl <> ''")
 def url_entities_projection(spark, sf):
     """The harvest manifest of every URL."""
-    u = table(spark, sf, "url_entities", ["url_id", "vcard_hasurl", "bcube_hasurlsource", "bcube_hasconfidence", "http_statuscode"]).where("vcard_hasurl <> ''")
-    return u.select("url_id", c("vcard_hasurl").alias("url"), c("bcube_hasurlsource").alias("source"), c("bcube_hasconfidence").alias("confidence"), c("http_statuscode").alias("status")).distinct()
+    u = table(spark, sf, "url_entities", ["url_id", "vcard_hasurl"]).where("vcard_hasurl <> ''").distinct()
+    made = u.select(c("url_id").alias("doc_id"), c("vcard_hasurl").alias("url"), lit("2015-01-01").alias("harvest_date"))
+    return made.select("doc_id", readers.url_entity(c("url")).alias("e")).select(c("doc_id").alias("url_id"), c("e.vcard_hasURL").alias("url"), c("e.hasUrlSource").alias("source"), c("e.hasConfidence").alias("confidence"), c("e.httpStatusCode").alias("status"), c("e.reasonPhrase").alias("reason"))
 
 
 # --- similarity ---------------------------------------------------------------------------------------------
@@ -776,6 +910,22 @@ def simhash_near_dups(spark, sf):
     return similarity.near_duplicates(prints, "doc_id", 3)
 
 
+@query(f"WITH {_PRINTS}, reps AS (SELECT hi, lo, min(doc_id) id FROM prints GROUP BY hi, lo) SELECT x.id AS a, y.id AS b, CAST(bit_count(xor(x.hi, y.hi)) + bit_count(xor(x.lo, y.lo)) AS INT) AS distance FROM reps x JOIN reps y ON x.id < y.id AND bit_count(xor(x.hi, y.hi)) + bit_count(xor(x.lo, y.lo)) <= 10")
+def simhash_near_dups_10(spark, sf):
+    """Pairs of representatives within ten bits."""
+    prints = similarity.simhash_rows(table(spark, sf, "documents", ["doc_id", "text"]), "doc_id", "text")
+    return similarity.near_duplicates(prints, "doc_id", 10)
+
+
+@query(f"""WITH {_PRINTS}, reps AS (SELECT hi, lo, min(doc_id) id, min(source) s0, max(source) s1 FROM prints JOIN documents USING (doc_id) GROUP BY hi, lo)
+SELECT x.id AS a, y.id AS b, CAST(bit_count(xor(x.hi, y.hi)) + bit_count(xor(x.lo, y.lo)) AS INT) AS distance FROM reps x JOIN reps y ON x.id < y.id AND bit_count(xor(x.hi, y.hi)) + bit_count(xor(x.lo, y.lo)) <= 3 WHERE NOT (x.s0 = x.s1 AND y.s0 = y.s1 AND x.s0 = y.s0)""")
+def simhash_across_sources(spark, sf):
+    """Pairs within three bits, leaving out those of which all documents have the same source."""
+    d = table(spark, sf, "documents", ["doc_id", "text", "source"]).where("text IS NOT NULL")
+    prints = similarity.simhash_rows(d, "doc_id", "text").join(d.select("doc_id", "source"), "doc_id")
+    return similarity.near_duplicates(prints, "doc_id", 3, apart="source")
+
+
 @query(f"WITH {_PRINTS} SELECT doc_id, min(doc_id) OVER (PARTITION BY hi, lo) AS class_id FROM prints")
 def simhash_classes(spark, sf):
     """Every document with the smallest one of the same fingerprint."""
@@ -806,6 +956,14 @@ def tfidf_pairs(spark, sf):
     return similarity.similar_pairs(w, "dataset_id", 0.95).select("a", "b", F.round("score", 5).alias("score"))
 
 
+@query(f"""WITH {_TITLES}, {_WEIGHTS}, pairs AS (SELECT a.dataset_id doc, b.dataset_id other, round(sum(a.weight * b.weight), 5) score FROM weights a JOIN weights b ON a.term = b.term AND a.dataset_id <> b.dataset_id GROUP BY ALL HAVING sum(a.weight * b.weight) >= 0.1)
+SELECT doc, other, score, CAST(row_number() OVER (PARTITION BY doc ORDER BY score DESC, other) AS INT) AS place FROM pairs""")
+def tfidf_ranked(spark, sf):
+    """For each title all others with a cosine of 0.1 or more, the most similar first."""
+    w = similarity.tfidf(_titles(spark, sf), "dataset_id", "dcterms_title")
+    return similarity.ranked(similarity.similar_pairs(w, "dataset_id", 0.1).withColumn("score", F.round("score", 5)))
+
+
 # --- sources ----------------------------------------------------------------------------------------------------
 
 
