@@ -125,7 +125,7 @@ def _components(edges: DataFrame, stages: Stages) -> DataFrame:
 
 @dataclass(frozen=True)
 class _Collapsed:
-    """Rows (id, keys) of a table, each once, and their combinations of keys (keys, n, keep_id)."""
+    """Rows (id, keys) of a table and their combinations of keys (keys, n, keep_id)."""
 
     rows: DataFrame
     groups: DataFrame
@@ -141,10 +141,12 @@ class _Collapsed:
         return self.rows.where(" AND ".join(f"{k} IS NULL" for k in self.names))
 
 
-def _collapse(records: DataFrame, row_id: str, keys: dict[str, Column], least: int) -> _Collapsed:
+def _collapse(records: DataFrame, row_id: str, keys: dict[str, Column], least: int, once: bool) -> _Collapsed:
+    """``once`` takes out repeated deliveries beforehand, which only their number needs."""
     stages = Stages(records.sparkSession, "copies")
     names = list(keys)
-    rows = stages.put(records.where(F.col(row_id).isNotNull()).select(F.col(row_id).alias("id"), *[_digest(c).alias(k) for k, c in keys.items()]).distinct())
+    rows = records.where(F.col(row_id).isNotNull()).select(F.col(row_id).alias("id"), *[_digest(c).alias(k) for k, c in keys.items()])
+    rows = stages.put(rows.distinct() if once else rows)
     found = _Collapsed(rows, rows, names, {})
     hot = hot_keys(found.keyed, *names, least=least)
     groups = stages.put(_counted(found.keyed, names, hot))
@@ -166,7 +168,7 @@ def find_copies(records: DataFrame, row_id: str, keys: dict[str, Column], least:
     ``keys`` are named canonical keys; ``least`` is the number of rows below which a
     key is never hot.
     """
-    got = _collapse(records, row_id, keys, least)
+    got = _collapse(records, row_id, keys, least, once=False)
     same = lambda g: [got.keyed[k].eqNullSafe(g[k]) for k in got.names]
     groups, keyed, warm = got.groups, got.keyed, is_hot(got.hot, *got.names)
     cold = groups.where(~warm) if got.hot else groups
@@ -184,6 +186,6 @@ def count_copies(records: DataFrame, row_id: str, keys: dict[str, Column], least
     Equal deliveries of an id count once; an id that comes with several contents counts
     with each of them.
     """
-    got = _collapse(records, row_id, keys, least)
+    got = _collapse(records, row_id, keys, least, once=True)
     counted = got.groups.groupBy("keep_id").agg(F.sum("n").cast("bigint").alias("n_copies"))
     return counted.unionAll(got.alone.select(F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("n_copies"))).groupBy("keep_id").agg(F.sum("n_copies").cast("bigint").alias("n_copies"))
