@@ -82,13 +82,18 @@ def _members(text: Column, lists: tuple[str, ...]) -> Column:
         return F.when(s["m"].isNotNull(), F.array(s)).otherwise(F.coalesce(_read(s["inner"], lists), F.array().cast(_ITEM)))
 
     def step(acc: Column, _: Column) -> Column:
-        more = lambda got: F.struct(got.alias("got"), F.exists(got, lambda s: s["m"].isNull()).alias("packed"))
+        more = lambda got: F.struct(got.alias("got"), F.exists(got, packed).alias("packed"))
         return F.when(acc["packed"], _let(F.flatten(F.transform(acc["got"], opened)), more)).otherwise(acc)
 
-    # each packing takes a bracket or a brace, so no more rounds can be needed; when nothing is packed they idle
-    packings = F.sequence(F.lit(1), F.length(F.regexp_replace(text, r"[^\[{]", "")) + 1)
-    start = F.struct(_read(F.array(text), lists).alias("got"), F.lit(True).alias("packed"))
-    got = F.aggregate(packings, start, step, lambda acc: acc["got"])
+    def to_the_end(got: Column) -> Column:
+        # each packing takes a bracket or a brace, so no more rounds can be needed; when nothing is packed they idle
+        rounds = F.sequence(F.lit(1), F.length(F.regexp_replace(text, r"[^\[{]", "")) + 1)
+        return F.aggregate(rounds, F.struct(got.alias("got"), F.lit(True).alias("packed")), step, lambda acc: acc["got"])
+
+    packed = lambda s: s["m"].isNull()
+    # one round opens a plain array; few lists are packed further
+    once = F.flatten(F.transform(_read(F.array(text), lists), opened))
+    got = _let(once, lambda g: F.when(F.exists(g, packed), to_the_end(g)).otherwise(g))
     return F.transform(F.filter(got, lambda s: s["m"].isNotNull()), lambda s: s["m"])
 
 
