@@ -15,7 +15,8 @@ def test_same_as_sql(spark, small, name):
 
 @pytest.mark.parametrize("name", sorted(set(ALL) - set(SQL)))
 def test_runs(spark, small, name):
-    assert ALL[name](spark, small).count() >= 0
+    """What SQL cannot say is tested elsewhere; here it must find something in the whole tables."""
+    assert ALL[name](spark, small).take(1), name
 
 
 def test_names():
