@@ -10,4 +10,5 @@ def test_same_as_sql(spark, small, name):
 
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.SQL)))
 def test_runs(spark, small, name):
-    assert queries.QUERIES[name](spark, small).count() >= 0
+    """What SQL cannot say is tested elsewhere; here it must find something in the whole tables."""
+    assert queries.QUERIES[name](spark, small).take(1), name
