@@ -79,9 +79,14 @@ def write_n_triples(lines: DataFrame, path: str, mode: str = "overwrite") -> Non
     lines.select("value").write.mode(mode).text(path)
 
 
-def write_scores(pairs: DataFrame, path: str, by: str, mode: str = "append") -> None:
-    """score,id lines, in a folder per document."""
-    pairs.select(by, F.concat_ws(",", F.round("score", 6).cast("string"), F.col("b").cast("string")).alias("value")).write.partitionBy(by).mode(mode).text(path)
+def write_scores(pairs: DataFrame, path: str, by: str, mode: str = "append", buckets: int | None = None) -> None:
+    """score,id lines in a folder per document; with ``buckets`` document,score,id lines in so many folders, for any number of documents."""
+    score = [F.round("score", 6).cast("string"), F.col("b").cast("string")]
+    if buckets is None:
+        pairs.select(by, F.concat_ws(",", *score).alias("value")).write.partitionBy(by).mode(mode).text(path)
+    else:
+        own = F.col(by).cast("string")
+        pairs.select(F.pmod(F.xxhash64(own), F.lit(buckets)).alias("bucket"), F.concat_ws(",", own, *score).alias("value")).repartition(buckets, "bucket").write.partitionBy("bucket").mode(mode).text(path)
 
 
 def not_done(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:

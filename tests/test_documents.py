@@ -238,6 +238,19 @@ def test_sources(spark, tmp_path):
     io.write_lines(spark.range(2), str(tmp_path / "lines"))
     io.write_scores(spark.createDataFrame([(1, 2, 0.5)], "a int, b int, score double"), str(tmp_path / "s"), "a")
     assert spark.read.text(str(tmp_path / "s")).first().value == "0.5,2"
+    io.write_scores(spark.range(50).selectExpr("id AS a", "id + 1 AS b", "0.25D AS score"), str(tmp_path / "sb"), "a", buckets=4)
+    assert len(list((tmp_path / "sb").glob("bucket=*"))) <= 4
+    assert {r.value for r in spark.read.text(str(tmp_path / "sb")).select("value").collect()} == {f"{i},0.25,{i + 1}" for i in range(50)}
+
+
+def test_relational_tables(spark):
+    """Written to a database and read back, whole and in parallel ranges."""
+    url, rows = "jdbc:derby:memory:silt;create=true", spark.range(100).selectExpr("id AS k", "concat('v', id) AS v")
+    io.write_table(rows, url, "t", "overwrite", driver="org.apache.derby.jdbc.EmbeddedDriver")
+    for options in ({}, {"key": "k", "bounds": (0, 100), "partitions": 4}):
+        got = io.read_table(spark, url, "t", driver="org.apache.derby.jdbc.EmbeddedDriver", **options)
+        assert got.rdd.getNumPartitions() == options.get("partitions", 1)
+        assert sorted(tuple(r) for r in got.collect()) == sorted((i, f"v{i}") for i in range(100))
 
 
 def test_stream(spark, small, tmp_path):
