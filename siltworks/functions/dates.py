@@ -40,3 +40,8 @@ def looks_like_date(c: Column) -> Column:
     )
     other = c.rlike(r"^\d{2}/\d{2}/\d{4} \[\d{2}:\d{2}:\d{2}:\d+\]$|^\d{2}:\d{2}:\d{8}$")
     return F.coalesce(shape | other, F.lit(False))
+
+
+def strip_dates(c: Column) -> Column:
+    """'' for a text that as a whole is a date, else the text."""
+    return F.when(looks_like_date(c), "").otherwise(c)

@@ -357,6 +357,15 @@ def fgdc_date_convert(spark, sf):
     return o.select("o_orderkey", D.short_date(d).alias("d"))
 
 
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN strftime(o_orderdate, '%Y-%m-%d') || ' in ' || o_orderkey ELSE '' END AS text FROM orders")
+def strip_dates(spark, sf):
+    """Texts that are dates as a whole become empty, others stay."""
+    o, k = table(spark, sf, "orders", ["o_orderkey", "o_orderdate"]), c("o_orderkey")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    text = F.when(k % 3 == 0, day).when(k % 3 == 1, F.date_format("o_orderdate", "d MMM yyyy")).otherwise(F.concat(day, lit(" in "), k.cast("string")))
+    return o.select("o_orderkey", D.strip_dates(text).alias("text"))
+
+
 # --- rules ---------------------------------------------------------------------------------------
 
 _R = R.Rule
