@@ -21,3 +21,9 @@ def test_runs(spark, small, name):
 
 def test_names():
     assert not set(SQL) - set(ALL)
+
+
+def test_edges_of_many_records_are_never_broadcast(spark, small):
+    """Catalyst takes rows made of a document for as few bytes as the document; the documents are parsed once."""
+    plan = catalogue.reader_fgdc_edges(spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan and "ArrowEvalPython" not in plan
